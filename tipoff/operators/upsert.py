@@ -118,13 +118,11 @@ def _chosen_records(incoming: DataFrame, changed: DataFrame, spec: TableSpec) ->
 
 
 def _write(df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Write partition directories. Rebalancing splits a large partition over tasks."""
+    """Write a new directory tree. Rebalancing splits a large partition over tasks."""
     (
         df.select(*spec.schema.names)
         .hint("rebalance", *spec.partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
+        .write.option("compression", "zstd")
         .partitionBy(*spec.partitions)
         .parquet(path)
     )
@@ -142,7 +140,10 @@ def _finish(spark: SparkSession, root: str, spec: TableSpec, run: str) -> None:
     """Swap staged rows into the table, record the outcome, retire the stage. Repeatable."""
     stage = _stage(root, spec, run)
     if files.exists(spark, f"{stage}/rows/_SUCCESS"):
-        _write(spark.read.schema(spec.schema).parquet(f"{stage}/rows"), spec.path(root), spec)
+        # Whole partition directories change places: no data is written twice. A partition
+        # missing here was moved before an interruption.
+        for partition in files.leaf_directories(spark, f"{stage}/rows", len(spec.partitions)):
+            files.replace(spark, f"{stage}/rows/{partition}", f"{spec.path(root)}/{partition}")
     decided = spark.read.schema(outcome_schema(spec)).parquet(f"{stage}/decided")
     decided.write.mode("overwrite").parquet(f"{_outcomes(root, spec)}/run={run}")
     files.delete(spark, stage)

@@ -4,72 +4,85 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-BRONZE_SCOREBOARD = T.StructType.fromDDL(
-    "date string, source_url string, parameters string, content_hash string, "
-    "raw_data string, created_at timestamp, year string, month string"
-)
+STRING, INT, BOOL = T.StringType(), T.IntegerType(), T.BooleanType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
 
-BRONZE_TEAMS = T.StructType.fromDDL(
-    "source_url string, parameters string, content_hash string, "
-    "raw_data string, created_at timestamp, bucket string"
-)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def strings(*names: str) -> dict[str, T.DataType]:
+    return {name: STRING for name in names}
+
+
+_RECORD = strings("source_url", "parameters", "content_hash", "raw_data") | {"created_at": TIMESTAMP}
+BRONZE_SCOREBOARD = struct(date=STRING, **_RECORD, year=STRING, month=STRING)
+BRONZE_TEAMS = struct(**_RECORD, bucket=STRING)
 
 # The superset of the payload shapes; absent fields parse to null.
-_TEAM = (
-    "id: string, location: string, name: string, abbreviation: string, displayName: string, "
-    "color: string, alternateColor: string, score: string"
+_TEAM = struct(
+    **strings("id", "location", "name", "abbreviation", "displayName", "color", "alternateColor", "score")
+)
+_COMPETITOR = struct(
+    **strings("id", "type", "homeAway"),
+    winner=BOOL,
+    score=STRING,
+    team=_TEAM,
+    statistics=T.ArrayType(struct(**strings("name", "displayValue"))),
 )
-_COMPETITOR = (
-    "id: string, type: string, homeAway: string, winner: boolean, score: string, "
-    f"team: struct<{_TEAM}>, "
-    "statistics: array<struct<name: string, displayValue: string>>"
+_VENUE = struct(
+    **strings("id", "fullName"), capacity=INT, address=struct(**strings("city", "state", "country"))
 )
-_VENUE = (
-    "id: string, fullName: string, capacity: int, "
-    "address: struct<city: string, state: string, country: string>"
+_STATUS = struct(
+    type=struct(**strings("id", "name", "state"), completed=BOOL, **strings("description", "detail"))
 )
-_COMPETITION = (
-    "id: string, date: string, attendance: int, neutralSite: boolean, "
-    "conferenceCompetition: boolean, type: struct<id: string, abbreviation: string>, "
-    f"venue: struct<{_VENUE}>, competitors: array<struct<{_COMPETITOR}>>, "
-    "status: struct<type: struct<id: string, name: string, state: string, "
-    "completed: boolean, description: string, detail: string>>"
+_COMPETITION = struct(
+    **strings("id", "date"),
+    attendance=INT,
+    neutralSite=BOOL,
+    conferenceCompetition=BOOL,
+    type=struct(**strings("id", "abbreviation")),
+    venue=_VENUE,
+    competitors=T.ArrayType(_COMPETITOR),
+    status=_STATUS,
 )
-_EVENT = (
-    "id: string, uid: string, date: string, name: string, shortName: string, "
-    "season: struct<year: int, type: int, slug: string>, "
-    f"competitions: array<struct<{_COMPETITION}>>"
+_EVENT = struct(
+    **strings("id", "uid", "date", "name", "shortName"),
+    season=struct(year=INT, type=INT, slug=STRING),
+    competitions=T.ArrayType(_COMPETITION),
 )
-_ITEM = (
-    "id: string, uid: string, guid: string, slug: string, location: string, name: string, "
-    "nickname: string, abbreviation: string, displayName: string, shortDisplayName: string, "
-    "color: string, alternateColor: string, active: boolean, allstar: boolean"
+_ITEM = struct(
+    **strings("id", "uid", "guid", "slug", "location", "name", "nickname", "abbreviation"),
+    **strings("displayName", "shortDisplayName", "color", "alternateColor"),
+    active=BOOL,
+    allstar=BOOL,
 )
 
 CORRUPT = "_corrupt"
-SCOREBOARD_PAYLOAD = T.StructType.fromDDL(f"events array<struct<{_EVENT}>>, {CORRUPT} string")
-TEAM_PAGE_PAYLOAD = T.StructType.fromDDL(
-    "count int, pageIndex int, pageSize int, pageCount int, "
-    f"items array<struct<{_ITEM}>>, {CORRUPT} string"
+SCOREBOARD_PAYLOAD = struct(events=T.ArrayType(_EVENT), **{CORRUPT: STRING})
+TEAM_PAGE_PAYLOAD = struct(
+    count=INT, pageIndex=INT, pageSize=INT, pageCount=INT, items=T.ArrayType(_ITEM), **{CORRUPT: STRING}
 )
 
-SILVER_GAMES = T.StructType.fromDDL(
-    "game_id string, season_id string, season_type int, date timestamp, home_team_id string, "
-    "away_team_id string, venue_id string, home_score int, away_score int, status string, "
-    "neutral_site boolean, conference_game boolean"
-)
-SILVER_TEAMS = T.StructType.fromDDL(
-    "team_id string, name string, abbreviation string, location string, conference_id string, "
-    "logo_url string, color string, alternate_color string"
-)
-SILVER_CONFERENCES = T.StructType.fromDDL(
-    "conference_id string, name string, short_name string, logo_url string"
+SILVER_GAMES = struct(
+    **strings("game_id", "season_id"),
+    season_type=INT,
+    date=TIMESTAMP,
+    **strings("home_team_id", "away_team_id", "venue_id"),
+    home_score=INT,
+    away_score=INT,
+    status=STRING,
+    neutral_site=BOOL,
+    conference_game=BOOL,
 )
-SILVER_SEASONS = T.StructType.fromDDL(
-    "season_id string, name string, start_date date, end_date date, year int"
+SILVER_TEAMS = struct(
+    **strings("team_id", "name", "abbreviation", "location", "conference_id", "logo_url", "color", "alternate_color")
 )
-SILVER_VENUES = T.StructType.fromDDL(
-    "venue_id string, name string, capacity int, city string, state string, country string"
+SILVER_CONFERENCES = struct(**strings("conference_id", "name", "short_name", "logo_url"))
+SILVER_SEASONS = struct(season_id=STRING, name=STRING, start_date=DATE, end_date=DATE, year=INT)
+SILVER_VENUES = struct(
+    venue_id=STRING, name=STRING, capacity=INT, **strings("city", "state", "country")
 )
 
 # Request group ids and the conference or division each one selects.
