@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tipoff.operators.timeline import prior_totals
+from tipoff.operators.timeline import leveled_totals
 
 
 def with_sequential_id(
@@ -17,7 +17,7 @@ def with_sequential_id(
     day that holds a large share of all rows is still numbered by 256 tasks.
     """
     sharded = rows.withColumn("_shard", F.substring(F.sha2(url, 256), 1, 2))
-    numbered = prior_totals(sharded, [], [day, "_shard"], [url], {"rows": F.lit(1)}, prefix="_before_")
+    numbered = leveled_totals(sharded, [], [day, "_shard"], [url], {"rows": F.lit(1)}, prefix="_before_")
     ids = (F.col("_before_rows") + last + 1).cast("long")
     return numbered.withColumn(name, ids).drop("_before_rows", "_shard")
 

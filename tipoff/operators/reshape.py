@@ -55,12 +55,14 @@ def away_side(competitors: Column | str) -> Column:
 def statistic_columns(statistics: str, columns: Mapping[str, tuple[str, str]]) -> dict[str, Column]:
     """``[{name, displayValue}]`` as typed columns: statistic name -> (column, type).
 
-    Repeated names keep the last value.
+    Repeated names keep the last value. Array lookups only: no lambda per element, so
+    the expressions stay in generated code.
     """
+    backwards = F.reverse(statistics)
+    names, texts = backwards["name"], backwards["displayValue"]
 
     def pick(name: str, kind: str) -> Column:
-        entry = F.try_element_at(F.filter(statistics, lambda s: s["name"] == name), F.lit(-1))
-        return entry["displayValue"].try_cast(kind)
+        return F.get(texts, (F.array_position(names, name) - 1).cast("int")).try_cast(kind)
 
     return {column: pick(name, kind) for name, (column, kind) in columns.items()}
 

@@ -1,31 +1,57 @@
 """Running totals and look-back windows that hold under hot keys.
 
-A plain ``Window.partitionBy(team)`` sends every row of a team to one task. Here a
-timeline is cut into levels (for example days): rows are ranked and summed inside one
-level value, the level totals, few per key, get their opening balance from a small
-window, and both are added. Bounded look-backs cut a timeline into fixed-length
-blocks and repeat the few rows before each block.
+A window partitioned by team sends all rows of a team to one task. That is the right plan
+for ordinary groups: one shuffle. Groups above ``HOT_ROWS`` rows take another way. Their
+timeline is cut into days: rows are ranked and summed inside a day, the day totals, few
+per group, get their opening balance from a small window, and both are added. Look-backs
+cut it into fixed-length blocks and repeat the few rows before each block. Both ways give
+the same result; :func:`by_group_size` sends each group the way its size needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+# Rows of one group that a single task may sort, and rows per look-back block of a hot group.
+HOT_ROWS = 1_000_000
 BLOCK_ROWS = 4096
 
 
-def _before(keys: Sequence[str], order: Sequence[str | Column]) -> Window:
-    return (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def by_group_size(
+    rows: DataFrame,
+    keys: Sequence[str],
+    plain: Callable[[DataFrame], DataFrame],
+    split: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``plain`` for the rows of ordinary groups, ``split`` for those of hot ones.
 
+    Group sizes come from one map-side aggregate. The hot keys are broadcast: there are at
+    most (all rows / HOT_ROWS) of them. Without any, the adaptive planner finds the
+    second branch empty and drops it.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > HOT_ROWS).select(*keys))
+    usual = plain(rows.join(hot, list(keys), "left_anti"))
+    return usual.unionByName(split(rows.join(hot, list(keys), "left_semi")))
 
-def prior_totals(
+
+def _before(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
+    partition = list(keys) or [F.lit(0)]
+    return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _whole(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0)).cast("long")
+
+
+def _total(value: Column | str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+
+def leveled_totals(
     rows: DataFrame,
     keys: Sequence[str],
     levels: Sequence[str],
@@ -41,26 +67,33 @@ def prior_totals(
     level below its parent.
     """
     names = list(measures)
-    rows = rows.withColumns({f"_m_{n}": F.coalesce(c, F.lit(0)).cast("long") for n, c in measures.items()})
+    rows = rows.withColumns({f"_m_{n}": _whole(c) for n, c in measures.items()})
     inside = _before([*keys, *levels], order)
-    result = rows.withColumns(
-        {f"{prefix}{n}": F.coalesce(F.sum(f"_m_{n}").over(inside), F.lit(0)) for n in names}
-    )
+    result = rows.withColumns({f"{prefix}{n}": _total(f"_m_{n}", inside) for n in names})
     totals = rows
     for depth in range(len(levels), 0, -1):
         here = [*keys, *levels[:depth]]
         totals = totals.groupBy(*here).agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
         window = _before(here[:-1], [here[-1]])
-        opening = totals.select(
-            *here,
-            *[F.coalesce(F.sum(f"_m_{n}").over(window), F.lit(0)).alias(f"_open_{n}") for n in names],
-        )
+        opening = totals.select(*here, *[_total(f"_m_{n}", window).alias(f"_open_{n}") for n in names])
         result = result.join(opening, here)
         result = result.withColumns({f"{prefix}{n}": F.col(f"{prefix}{n}") + F.col(f"_open_{n}") for n in names})
         result = result.drop(*[f"_open_{n}" for n in names])
     return result.drop(*[f"_m_{n}" for n in names])
 
 
+def prior_totals(
+    rows: DataFrame, keys: Sequence[str], day: str, order: Sequence[str], measures: Mapping[str, Column]
+) -> DataFrame:
+    """``prior_<measure>`` over the rows of the same keys that sort earlier by day and order."""
+    before = _before(keys, [day, *order])
+
+    def plain(part: DataFrame) -> DataFrame:
+        return part.withColumns({f"prior_{n}": _total(_whole(c), before) for n, c in measures.items()})
+
+    return by_group_size(rows, keys, plain, lambda part: leveled_totals(part, keys, [day], order, measures))
+
+
 def entering(
     rows: DataFrame,
     keys: Sequence[str],
@@ -68,31 +101,46 @@ def entering(
     order: Sequence[str],
     counted: Column,
     measures: Mapping[str, Column],
-    labels: Mapping[str, Column] | None = None,
+    labels: Mapping[str, Column],
+    split: bool = False,
 ) -> DataFrame:
     """Everything known about a timeline just before each row, in one pass.
 
     Adds ``position`` (one plus the number of counted rows before), ``prior_<measure>``
     totals, ``last_<label>`` (position of the latest earlier counted row carrying the
     label, 0 if none) and ``previous_day`` (day of the row before). Rows sort by
-    ``day`` and ``order``.
+    ``day`` and ``order``. ``split`` picks the way for hot groups.
     """
-    labels = labels or {}
-    sums = {"counted": F.when(counted, 1).otherwise(0), **measures}
-    rows = rows.withColumns({f"_m_{n}": F.coalesce(c, F.lit(0)).cast("long") for n, c in sums.items()})
+    if split:
+        return _entering_split(rows, keys, day, order, counted, measures, labels)
+    before = _before(keys, [day, *order])
+    result = rows.withColumns(
+        {
+            "position": _total(F.when(counted, 1), before) + 1,
+            "previous_day": F.lag(day).over(Window.partitionBy(*keys).orderBy(day, *order)),
+            **{f"prior_{n}": _total(_whole(c), before) for n, c in measures.items()},
+        }
+    )
+    seen = {n: F.when(counted & flag, F.col("position")) for n, flag in labels.items()}
+    return result.withColumns(
+        {f"last_{n}": F.coalesce(F.max(c).over(before), F.lit(0)) for n, c in seen.items()}
+    )
+
+
+def _entering_split(rows, keys, day, order, counted, measures, labels) -> DataFrame:
+    sums = {"counted": F.when(counted, 1), **measures}
+    rows = rows.withColumns({f"_m_{n}": _whole(c) for n, c in sums.items()})
     inside = _before([*keys, day], order)
 
     # Inside one day: totals so far, and the in-day position of each label.
-    rows_in_day = rows.withColumns(
-        {f"_in_{n}": F.coalesce(F.sum(f"_m_{n}").over(inside), F.lit(0)) for n in sums}
-    )
-    rows_in_day = rows_in_day.withColumns(
+    in_day = rows.withColumns({f"_in_{n}": _total(f"_m_{n}", inside) for n in sums})
+    in_day = in_day.withColumns(
         {
             f"_at_{n}": F.when(counted & flag, F.col("_in_counted") + 1).otherwise(0)
             for n, flag in labels.items()
         }
     )
-    result = rows_in_day.withColumns(
+    result = in_day.withColumns(
         {
             **{f"_seen_{n}": F.coalesce(F.max(f"_at_{n}").over(inside), F.lit(0)) for n in labels},
             "_row_in_day": F.count(F.lit(1)).over(inside),
@@ -100,27 +148,27 @@ def entering(
     )
 
     # One row per day, and the balance each day opens with.
-    days = rows_in_day.groupBy(*keys, day).agg(
+    days = in_day.groupBy(*keys, day).agg(
         *[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in sums],
         *[F.max(f"_at_{n}").alias(f"_at_{n}") for n in labels],
     )
-    window = _before(keys, [day])
-    opening = days.select(
+    earlier = _before(keys, [day])
+    opening = days.withColumns(
+        {
+            "_day_before": F.lag(day).over(Window.partitionBy(*keys).orderBy(day)),
+            **{f"_open_{n}": _total(f"_m_{n}", earlier) for n in sums},
+        }
+    )
+    reached = {
+        n: F.when(F.col(f"_at_{n}") > 0, F.col("_open_counted") + F.col(f"_at_{n}")) for n in labels
+    }
+    opening = opening.select(
         *keys,
         day,
-        F.lag(day).over(Window.partitionBy(*keys).orderBy(day)).alias("_day_before"),
-        *[F.coalesce(F.sum(f"_m_{n}").over(window), F.lit(0)).alias(f"_open_{n}") for n in sums],
-        *[F.col(f"_at_{n}") for n in labels],
+        "_day_before",
+        *[f"_open_{n}" for n in sums],
+        *[F.coalesce(F.max(c).over(earlier), F.lit(0)).alias(f"_open_at_{n}") for n, c in reached.items()],
     )
-    opening = opening.withColumns(
-        {
-            f"_open_at_{n}": F.coalesce(
-                F.max(F.when(F.col(f"_at_{n}") > 0, F.col("_open_counted") + F.col(f"_at_{n}"))).over(window),
-                F.lit(0),
-            )
-            for n in labels
-        }
-    ).drop(*[f"_at_{n}" for n in labels])
 
     joined = result.join(opening, [*keys, day])
     joined = joined.withColumns(
@@ -145,33 +193,35 @@ def look_back(
     position: str,
     longest: int,
     features: Mapping[str, tuple[int, Column]],
-    block_rows: int = BLOCK_ROWS,
+    split: bool = False,
 ) -> DataFrame:
     """Aggregate over the last ``n`` positions before each row.
 
     ``features`` maps an output name to ``(n, aggregate)``, with every ``n`` at most
-    ``longest``. A timeline is cut into blocks of ``block_rows`` positions; the last
-    ``longest`` positions of a block are repeated in the next one, so a task sees a block,
-    never a whole key.
+    ``longest``. For hot groups (``split``) a timeline is cut into blocks of
+    ``BLOCK_ROWS`` positions; the last ``longest`` positions of a block are repeated in
+    the next one, so a task sees a block, never a whole key.
     """
-    if longest >= block_rows or any(n > longest for n, _ in features.values()):
-        raise ValueError("a look-back must fit the repeated rows, and those a block")
-    block = F.floor(F.col(position) / block_rows)
-    reaches_next = F.col(position) % block_rows >= block_rows - longest
-    tagged = rows.withColumn(
-        "_block",
-        F.explode(
-            F.when(
-                reaches_next,
-                F.array(
-                    F.struct(block.alias("id"), F.lit(False).alias("copy")),
-                    F.struct((block + 1).alias("id"), F.lit(True).alias("copy")),
-                ),
-            ).otherwise(F.array(F.struct(block.alias("id"), F.lit(False).alias("copy"))))
-        ),
-    ).withColumns({"_copy": F.col("_block.copy"), "_block": F.col("_block.id")})
-    ordered = Window.partitionBy(*keys, "_block").orderBy(position)
-    computed = tagged.withColumns(
-        {name: agg.over(ordered.rangeBetween(-n, -1)) for name, (n, agg) in features.items()}
+    if any(n > longest for n, _ in features.values()):
+        raise ValueError("a look-back is longer than the rows kept for it")
+    if split:
+        rows, keys = _in_blocks(rows, position, longest), [*keys, "_block"]
+    ordered = Window.partitionBy(*keys).orderBy(position)
+    rows = rows.withColumns({name: agg.over(ordered.rangeBetween(-n, -1)) for name, (n, agg) in features.items()})
+    return rows.where(~F.col("_copy")).drop("_block", "_copy") if split else rows
+
+
+def _in_blocks(rows: DataFrame, position: str, longest: int) -> DataFrame:
+    """Rows with their block, and copies of each block's last rows in the next block."""
+    size = max(BLOCK_ROWS, longest + 1)
+    block = F.floor(F.col(position) / size)
+
+    def place(number: Column, copy: bool) -> Column:
+        return F.struct(number.alias("number"), F.lit(copy).alias("copy"))
+
+    own, repeated = place(block, False), place(block + 1, True)
+    reaches_next = F.col(position) % size >= size - longest
+    places = F.when(reaches_next, F.array(own, repeated)).otherwise(F.array(own))
+    return rows.withColumn("_place", F.explode(places)).select(
+        *rows.columns, F.col("_place.number").alias("_block"), F.col("_place.copy").alias("_copy")
     )
-    return computed.where(~F.col("_copy")).drop("_block", "_copy")

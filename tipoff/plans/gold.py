@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tipoff.functions.values import ratio
 from tipoff.operators.reshape import pair_columns, team_rows
-from tipoff.operators.timeline import entering, look_back, prior_totals
+from tipoff.operators.timeline import by_group_size, entering, look_back, prior_totals
 
 TEAM_SEASON = ["team_id", "season_id"]
 PAIR = ["team_low", "team_high"]
@@ -72,7 +72,7 @@ def _one(flag: Column) -> Column:
     return F.when(flag, 1).otherwise(0)
 
 
-def team_timeline(games: DataFrame) -> DataFrame:
+def _timeline(rows: DataFrame, split: bool) -> DataFrame:
     """Season to date, rest and streak entering each game, in one running-total pass."""
     played, win, loss = F.col("played"), F.col("win"), F.col("loss")
     measures = {
@@ -85,15 +85,8 @@ def team_timeline(games: DataFrame) -> DataFrame:
         if name != "neutral":
             measures[f"{name}_wins"] = _one(flag & win)
             measures[f"{name}_losses"] = _one(flag & loss)
-    rows = entering(
-        team_games(games),
-        TEAM_SEASON,
-        "day",
-        ["game_id"],
-        played,
-        measures,
-        {"win": win, "loss": loss, "tie": played & ~win & ~loss},
-    )
+    labels = {"win": win, "loss": loss, "tie": played & ~win & ~loss}
+    rows = entering(rows, TEAM_SEASON, "day", ["game_id"], played, measures, labels, split)
     before = F.col("position") - 1
     since_other = [
         F.when(F.col(f"last_{name}") == before, before - F.greatest(*[f"last_{o}" for o in others])).otherwise(0)
@@ -113,6 +106,13 @@ def team_timeline(games: DataFrame) -> DataFrame:
     ).drop("last_win", "last_loss", "last_tie", "previous_day")
 
 
+def team_timeline(games: DataFrame) -> DataFrame:
+    """Each team's state entering each game of its season."""
+    return by_group_size(
+        team_games(games), TEAM_SEASON, lambda r: _timeline(r, False), lambda r: _timeline(r, True)
+    )
+
+
 def season_to_date(games: DataFrame) -> DataFrame:
     return team_timeline(games).select(
         "game_id",
@@ -158,11 +158,12 @@ def _trend_sums(n: int) -> dict[str, tuple[int, Column]]:
     }
 
 
-def recent_form(timeline: DataFrame, spans: tuple[int, ...] = RECENT) -> DataFrame:
+def _recent_form(timeline: DataFrame, spans: tuple[int, ...], split: bool) -> DataFrame:
     """Results, scoring and margin trend over the last ``n`` played games."""
     features = {k: v for n in spans for k, v in _recent_features(n).items()}
     longest = max(spans)
-    rows = look_back(timeline, TEAM_SEASON, "position", longest, {**features, **_trend_sums(longest)})
+    features |= _trend_sums(longest)
+    rows = look_back(timeline, TEAM_SEASON, "position", longest, features, split)
     for n in spans:
         count = F.col(f"last{n}_games")
         rows = rows.withColumns(
@@ -180,13 +181,18 @@ def recent_form(timeline: DataFrame, spans: tuple[int, ...] = RECENT) -> DataFra
     return rows.withColumn("margin_trend", slope).drop("_n", "_sx", "_sy", "_sxy", "_sxx")
 
 
-def team_performance(games: DataFrame) -> DataFrame:
+def team_performance(games: DataFrame, spans: tuple[int, ...] = RECENT) -> DataFrame:
     """The team feature set: one row per game and team."""
-    return recent_form(team_timeline(games)).drop("position")
+    return by_group_size(
+        team_games(games),
+        TEAM_SEASON,
+        lambda rows: _recent_form(_timeline(rows, False), spans, False),
+        lambda rows: _recent_form(_timeline(rows, True), spans, True),
+    ).drop("position")
 
 
 def form(games: DataFrame, n: int) -> DataFrame:
-    return recent_form(team_timeline(games), (n,)).select(
+    return team_performance(games, (n,)).select(
         "game_id",
         *TEAM_SEASON,
         f"last{n}_games",
@@ -199,7 +205,7 @@ def form(games: DataFrame, n: int) -> DataFrame:
 
 
 def trends(games: DataFrame, n: int = 10) -> DataFrame:
-    return recent_form(team_timeline(games), (n,)).select("game_id", *TEAM_SEASON, "margin_trend")
+    return team_performance(games, (n,)).select("game_id", *TEAM_SEASON, "margin_trend")
 
 
 # --- pairs --------------------------------------------------------------------------
@@ -226,27 +232,32 @@ def _paired(games: DataFrame) -> DataFrame:
     )
 
 
-def head_to_head(games: DataFrame) -> DataFrame:
-    """Earlier meetings of the two teams, at either venue and in any season."""
+def _with_meetings(games: DataFrame) -> DataFrame:
+    """Games with both teams known, and the earlier meetings of the two."""
     rows = prior_totals(
         _paired(games),
         PAIR,
-        ["day"],
+        "day",
         ["game_id"],
         {"meetings": _one(F.col("played")), "low_wins": _one(F.col("low_win")), "high_wins": _one(F.col("high_win"))},
     )
     low_home = F.col("home_team_id") == F.col("team_low")
     low, high = F.col("prior_low_wins"), F.col("prior_high_wins")
     return rows.select(
-        "game_id",
-        "home_team_id",
-        "away_team_id",
+        *games.columns,
         F.col("prior_meetings").alias("h2h_meetings"),
         F.when(low_home, low).otherwise(high).alias("h2h_home_wins"),
         F.when(low_home, high).otherwise(low).alias("h2h_away_wins"),
     )
 
 
+def head_to_head(games: DataFrame) -> DataFrame:
+    """Earlier meetings of the two teams, at either venue and in any season."""
+    return _with_meetings(games).select(
+        "game_id", "home_team_id", "away_team_id", "h2h_meetings", "h2h_home_wins", "h2h_away_wins"
+    )
+
+
 def historical_performance(games: DataFrame) -> DataFrame:
     """Meetings, wins each way and average margin per pair of teams."""
     return _paired(games).groupBy(*PAIR).agg(
@@ -335,9 +346,7 @@ def prediction_features(games: DataFrame) -> DataFrame:
         F.max(F.when(F.col("is_home"), both)).alias("home"),
         F.max(F.when(~F.col("is_home"), both)).alias("away"),
     )
-    history = _paired(games).select(*games.columns)
-    h2h = head_to_head(games).select("game_id", "h2h_meetings", "h2h_home_wins", "h2h_away_wins")
-    joined = history.join(sides, "game_id").join(h2h, "game_id")
+    joined = _with_meetings(games).join(sides, "game_id")
     played = F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
     margin = F.when(played, F.col("home_score") - F.col("away_score"))
     return joined.select(

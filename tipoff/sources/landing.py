@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 DEFAULT_GROUPS = "50"
 DEFAULT_LIMIT = 200
 
-LANDING_SCHEMA = "value string"
+BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 RECORD_SCHEMA = (
     "date string, source_url string, parameters string, content_hash string, "
     "raw_data string, created_at timestamp"
@@ -24,8 +24,8 @@ def date_in_path(path: Column) -> Column:
     return F.when(digits != "", F.concat_ws("-", *parts)).otherwise("")
 
 
-def _records(raw: DataFrame, source_url: str) -> DataFrame:
-    day = date_in_path(F.col("_metadata.file_path"))
+def _records(landed: DataFrame, source_url: str) -> DataFrame:
+    day = date_in_path(F.col("path"))
     parameters = F.to_json(
         F.struct(
             F.replace(day, F.lit("-"), F.lit("")).alias("dates"),
@@ -33,30 +33,29 @@ def _records(raw: DataFrame, source_url: str) -> DataFrame:
             F.lit(DEFAULT_LIMIT).alias("limit"),
         )
     )
-    return raw.select(
+    return landed.select(
         day.alias("date"),
         F.lit(source_url).alias("source_url"),
         parameters.alias("parameters"),
-        F.col("value").alias("raw_data"),
-        F.col("_metadata.file_modification_time").alias("created_at"),
+        F.col("content").cast("string").alias("raw_data"),
+        F.col("modificationTime").alias("created_at"),
     )
 
 
 def read_scoreboard_files(spark: SparkSession, path: str, source_url: str) -> DataFrame:
-    """One record per payload file; the date comes from the file name."""
-    return _records(spark.read.option("wholetext", "true").text(path), source_url)
+    """One record per payload file, bytes kept as they landed; the date comes from its name.
+
+    Read as binary: the text source drops a trailing line break and so changes the hash.
+    """
+    return _records(spark.read.format("binaryFile").load(path), source_url)
 
 
 def stream_scoreboard_files(
     spark: SparkSession, path: str, source_url: str, max_files: int = 10_000
 ) -> DataFrame:
     """The same records as a stream of newly landed files."""
-    reader = (
-        spark.readStream.schema(LANDING_SCHEMA)
-        .option("wholetext", "true")
-        .option("maxFilesPerTrigger", max_files)
-    )
-    return _records(reader.text(path), source_url)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+    return _records(reader.option("maxFilesPerTrigger", max_files).load(path), source_url)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -72,12 +71,12 @@ def stream_records(spark: SparkSession, path: str, max_files: int = 1_000) -> Da
 
 def read_team_pages(spark: SparkSession, path: str, source_url: str) -> DataFrame:
     """One record per landed team page; the file name identifies the request."""
-    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
-    return spark.read.option("wholetext", "true").text(path).select(
+    name = F.substring_index("path", "/", -1)
+    return spark.read.format("binaryFile").load(path).select(
         F.lit(source_url).alias("source_url"),
         F.to_json(F.struct(name.alias("page"))).alias("parameters"),
-        F.col("value").alias("raw_data"),
-        F.col("_metadata.file_modification_time").alias("created_at"),
+        F.col("content").cast("string").alias("raw_data"),
+        F.col("modificationTime").alias("created_at"),
     )
 
 

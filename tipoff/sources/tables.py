@@ -35,13 +35,12 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = first_two_lines(
         load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
     )
+    # The second line sits beside the first under the same sort: no aggregate needed.
+    window = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     side = F.struct("l_suppkey", F.col("l_quantity").cast("int").alias("score"), "l_returnflag")
     sides = (
-        lines.groupBy("l_orderkey")
-        .agg(
-            F.max(F.when(F.col("rn") == 1, side)).alias("home"),
-            F.max(F.when(F.col("rn") == 2, side)).alias("away"),
-        )
+        lines.select("l_orderkey", "rn", side.alias("home"), F.lead(side).over(window).alias("away"))
+        .where("rn = 1")
         .where(F.col("home.l_suppkey") != F.col("away.l_suppkey"))
     )
     orders = load(spark, sf_dir, "orders")
