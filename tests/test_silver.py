@@ -12,17 +12,16 @@ from tipoff.operators import upsert as up
 T0 = datetime(2024, 1, 1)
 
 
-def parsed_records(spark, *payloads, dates=None):
+def captures(spark, *payloads, dates=None):
     rows = [
         (dates[i] if dates else f"2023-03-{15 + i:02d}", f"h{i}", p if isinstance(p, str) else json.dumps(p), T0.replace(day=1 + i))
         for i, p in enumerate(payloads)
     ]
-    table = spark.createDataFrame(rows, "date string, content_hash string, raw_data string, created_at timestamp")
-    return silver.parse_payloads(table)
+    return spark.createDataFrame(rows, "date string, content_hash string, raw_data string, created_at timestamp")
 
 
 def games_of(spark, *payloads, **kw):
-    return silver.game_records(silver.events(parsed_records(spark, *payloads, **kw)))
+    return silver.game_records(silver.events(captures(spark, *payloads, **kw)))
 
 
 def event(game_id="1", date="2023-03-15T20:00Z", competitors=(), **competition):
@@ -133,19 +132,20 @@ def test_newest_record_of_a_date_and_of_a_game_win(spark):
 
 
 def test_broken_json_is_kept_apart(spark):
-    parsed = parsed_records(spark, '{"events": [', FULL)
-    assert [r.source_date for r in silver.corrupt_payloads(parsed).collect()] == ["2023-03-15"]
-    assert silver.events(parsed).count() == 1
+    landed = captures(spark, '{"events": [', FULL)
+    corrupt = silver.corrupt_payloads(silver.parse_payloads(landed))
+    assert [r.source_date for r in corrupt.collect()] == ["2023-03-15"]
+    assert silver.events(landed).count() == 1
 
 
 def test_full_request_may_be_truncated(spark):
     payload = {"events": [{"id": "1"}, {"id": "2"}]}
-    rows = silver.truncated_requests(parsed_records(spark, payload, {"events": []}), 2).collect()
+    rows = silver.truncated_requests(captures(spark, payload, {"events": []}), 2).collect()
     assert sorted((r.events, r.maybe_truncated) for r in rows) == [(0, False), (2, True)]
 
 
 def test_teams_venues_and_statistics(spark):
-    rows = silver.events(parsed_records(spark, FULL))
+    rows = silver.events(captures(spark, FULL))
     team = silver.teams([silver.teams_in_games(rows)]).first()
     assert (team.team_id, team.name, team.color, team.alternate_color) == ("261", "North Cats", "#143624", "#F8C220")
     venue = silver.venues(rows).first()

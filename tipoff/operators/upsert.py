@@ -92,29 +92,23 @@ def decide(meta: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
         old_hash.alias("old_hash"),
         new_hash.alias("content_hash"),
         F.col("rank.created_at").alias("created_at"),
-        F.struct(F.col("rank.source_url"), F.col("rank.parameters")).alias("request"),
+        F.struct(
+            F.col("rank.source_url").alias("source_url"), F.col("rank.parameters").alias("parameters")
+        ).alias("request"),
     )
 
 
 def _chosen_records(incoming: DataFrame, changed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Full incoming rows of the decided records; identical copies collapse to one."""
+    """Full incoming rows of the decided records; identical copies collapse to one.
+
+    Join and deduplication use the same columns: payloads are shuffled once, or not at
+    all for the join where few keys changed and their list is broadcast.
+    """
     group = _group(spec)
-    c = changed.select(
-        *[F.col(k).alias(f"_{k}") for k in group],
-        F.col("created_at").alias("_time"),
-        F.col("content_hash").alias("_hash"),
-        F.col("request.source_url").alias("_url"),
-        F.col("request.parameters").alias("_params"),
-    )
-    same = (
-        (F.col("created_at") == F.col("_time"))
-        & (F.col("content_hash") == F.col("_hash"))
-        & F.col("source_url").eqNullSafe(F.col("_url"))
-        & F.col("parameters").eqNullSafe(F.col("_params"))
-    )
-    for key in group:
-        same = same & (F.col(key) == F.col(f"_{key}"))
-    return incoming.join(c, same, "left_semi").dropDuplicates(list(spec.keys))
+    identity = list(dict.fromkeys([*group, *RANK]))
+    request = [f"request.{c}" for c in ("source_url", "parameters") if c not in group]
+    wanted = changed.select(*group, "created_at", "content_hash", *request)
+    return incoming.join(wanted, identity, "left_semi").dropDuplicates(identity)
 
 
 def _write(df: DataFrame, path: str, spec: TableSpec) -> None:

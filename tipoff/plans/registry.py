@@ -36,7 +36,7 @@ def bronze_to_silver(
     if processed is not None:
         changed = lineage.changed_keys(bronze, processed)
         bronze = bronze.join(changed.select("date"), "date", "left_semi")
-    event_rows = silver.events(silver.parse_payloads(bronze))
+    event_rows = silver.events(bronze)
     if entity == "games":
         return silver.games(silver.game_records(event_rows))
     if entity == "teams":

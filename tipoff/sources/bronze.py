@@ -49,8 +49,8 @@ def _metadata(incoming: DataFrame, now: datetime) -> dict[str, Column]:
     given_time = F.col("created_at") if "created_at" in incoming.columns else F.lit(None)
     raw = text("raw_data")
     return {
-        "source_url": text("source_url"),
-        "parameters": text("parameters"),
+        "source_url": F.coalesce(text("source_url"), F.lit("")),
+        "parameters": F.coalesce(text("parameters"), F.lit("")),
         "raw_data": raw,
         "content_hash": F.coalesce(given_hash.cast("string"), values.content_hash(raw)),
         "created_at": F.coalesce(given_time.try_cast("timestamp"), F.lit(now)),

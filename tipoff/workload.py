@@ -284,8 +284,8 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payload_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = silver.parse_payloads(tables.game_payloads(spark, sf_dir), ("date", "source_url"))
-    return silver.events(parsed)
+    """Events of the game payloads, which are landed as a written table first."""
+    return silver.events(materialize(tables.game_payloads(spark, sf_dir)), ("date", "source_url"))
 
 
 @query
@@ -395,16 +395,21 @@ def conference_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gold ---------------------------------------------------------------------------
 
 
-def _on_games(build: Callable[[DataFrame], DataFrame], name: str, doc: str) -> None:
+def _silver_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule as a written silver table: window features read it more than once."""
+    return materialize(tables.games(spark, sf_dir))
+
+
+def _on_games(build: Callable[[DataFrame], DataFrame], name: str, doc: str, once: bool = False) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(tables.games(spark, sf_dir))
+        return build(tables.games(spark, sf_dir) if once else _silver_games(spark, sf_dir))
 
     run.__name__, run.__doc__ = name, doc
     query(run)
 
 
-_on_games(gold.season_record, "season_record", "Record and scoring averages per team and season.")
-_on_games(gold.record_splits, "record_splits", "Home, away, neutral-site and conference records.")
+_on_games(gold.season_record, "season_record", "Record and scoring averages per team and season.", once=True)
+_on_games(gold.record_splits, "record_splits", "Home, away, neutral-site and conference records.", once=True)
 _on_games(gold.season_to_date, "season_to_date", "Record and scoring entering each game.")
 _on_games(lambda g: gold.form(g, 5), "form_last5", "Results and scoring over the last five played games.")
 _on_games(lambda g: gold.form(g, 10), "form_last10", "Results and scoring over the last ten played games.")
@@ -412,7 +417,7 @@ _on_games(gold.rest_days, "rest_days", "Days since each team's previous game.")
 _on_games(gold.streaks, "streaks", "Current winning or losing run entering each game.")
 _on_games(gold.trends, "trends", "Slope of the margin over the last ten played games.")
 _on_games(gold.head_to_head, "head_to_head", "Earlier meetings of the two teams of each game.")
-_on_games(gold.historical_performance, "matchups", "Meetings, wins and margin per pair of teams.")
+_on_games(gold.historical_performance, "matchups", "Meetings, wins and margin per pair of teams.", once=True)
 _on_games(gold.opponent_strength, "opponent_strength", "The opponent's record entering each game.")
 _on_games(gold.game_context, "game_context", "Site, rest, conference matchup and earlier meetings.")
 _on_games(gold.prediction_features, "prediction_features", "All features of both sides, and the labels.")
@@ -462,7 +467,7 @@ def refreshed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The result must equal a full rebuild.
     """
-    games = tables.games(spark, sf_dir)
+    games = _silver_games(spark, sf_dir)
     urgent = F.col("conference_game")
     before = games.withColumns(
         {s: F.when(~urgent, F.col(s)) for s in ("home_score", "away_score")}
@@ -485,7 +490,7 @@ def feature_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contingency counts of picking the side with the better record so far, home on ties."""
-    features = gold.prediction_features(tables.games(spark, sf_dir))
+    features = gold.prediction_features(_silver_games(spark, sf_dir))
     pick = F.when(F.col("diff_prior_win_pct") >= 0, 1).otherwise(0)
     return models.classification_metrics(features.withColumn("prediction", pick))
 
@@ -557,7 +562,7 @@ def job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction features as a written table: training reads it many times."""
-    return materialize(gold.prediction_features(tables.games(spark, sf_dir)))
+    return materialize(gold.prediction_features(_silver_games(spark, sf_dir)))
 
 
 @query
