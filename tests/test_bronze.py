@@ -285,6 +285,19 @@ def test_migration_counts_and_planted_mismatch(spark, root, tmp_path):
     assert not report.content_match
 
 
+def test_migration_by_endpoint(spark, root):
+    frames = {
+        "scoreboard": legacy(spark, ["hash1", "hash2"]).withColumn("created_at", F.col("created_at").try_cast("timestamp")),
+        "teams": spark.createDataFrame([("u", "p1", "h", "A", T0)], "source_url string, parameters string, content_hash string, raw_data string, created_at timestamp"),
+    }
+    done = {r.table: (r.source_count, r.migrated_count, r.success) for r in migrate.migrate_endpoint(spark, "all", frames, root).collect()}
+    assert done == {"scoreboard": (2, 2, True), "teams": (1, 1, True)}
+    assert all(r.success for r in migrate.migrate_endpoint(spark, "validate", frames, root).collect())
+    assert migrate.legacy_dates(frames["scoreboard"]).count() == 2
+    with pytest.raises(ValueError, match="Unknown endpoint"):
+        migrate.migrate_endpoint(spark, "players", frames, root)
+
+
 def test_landed_files_become_records(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

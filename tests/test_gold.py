@@ -149,3 +149,26 @@ def test_lookups(spark):
     assert {r.game_id for r in gold.matchup_games(games, "B", "A").collect()} == {"1", "2"}
     assert [r.game_id for r in gold.games_between(games, "2022-11-06", "2022-11-06").collect()] == ["2"]
     assert [r.game_id for r in gold.upcoming_games(games, "2022-11-01").collect()] == ["3"]
+
+
+def test_refreshed_predictions_equal_a_full_rebuild(spark):
+    """The correction reaches the season of both teams and later meetings of the pair."""
+    rows = [(f"{i:03d}", i * 7, f"T{i % 6}", f"T{(i * 5 + 1) % 6}", 50 + i % 9, 50 + i % 7, "2022-23" if i < 50 else "2023-24")
+            for i in range(100) if i % 6 != (i * 5 + 1) % 6]
+    late = rows[5][0]
+    before = schedule(spark, rows)
+    after = schedule(spark, [(g, d, h, a, 99 if g == late else hs, *r) for g, d, h, a, hs, *r in rows])
+    changed = after.where(F.col("game_id") == late).unionByName(before.where(F.col("game_id") == late))
+    stored = gold.prediction_features(before)
+    refreshed = gold.refresh_prediction_features(after, stored, changed)
+    assert set(refreshed.collect()) == set(gold.prediction_features(after).select(*stored.columns).collect())
+
+
+def test_games_of_conferences_and_statistics(spark):
+    games = schedule(spark, [("1", 0, "A", "B", 2, 1), ("2", 5, "C", "D", 2, 1)])
+    teams = spark.createDataFrame([("A", "a", "1"), ("B", "b", "2"), ("C", "c", "2"), ("D", "d", "3")], "team_id string, name string, conference_id string")
+    one = spark.createDataFrame([("1",)], "conference_id string")
+    assert [r.game_id for r in gold.games_of_conferences(games, teams, one).collect()] == ["1"]
+    stats = spark.createDataFrame([("1", "A", 30), ("1", "Z", 5)], "game_id string, team_id string, rebounds int")
+    rows = gold.game_statistics(stats, games, teams).collect()
+    assert [(r.team, r.is_home, r.win, r.rebounds) for r in rows] == [("a", True, True, 30)]

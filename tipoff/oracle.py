@@ -349,6 +349,15 @@ WHERE status = 'scheduled' AND date >= TIMESTAMP '2000-01-01 00:00:00'""",
     "conference_flag": f"""WITH {GAMES}
 SELECT game_id, coalesce(h.s_nationkey = a.s_nationkey, FALSE) AS conference_game FROM games
 LEFT JOIN supplier h ON h.s_suppkey = home_team_id LEFT JOIN supplier a ON a.s_suppkey = away_team_id""",
+    "division_games": f"""WITH {GAMES}, asia AS (
+  SELECT s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+  WHERE r_name = 'ASIA')
+SELECT game_id, home_team_id, away_team_id FROM games
+WHERE home_team_id IN (SELECT s_suppkey FROM asia) OR away_team_id IN (SELECT s_suppkey FROM asia)""",
+    "game_statistics": f"""WITH {TEAM_GAMES}
+SELECT game_id, team_id, s_name AS team, opponent_id, is_home, win, CAST(l_quantity AS INTEGER) AS rebounds,
+  CAST(round(l_discount * 100) AS INTEGER) AS assists
+FROM lineitem JOIN tg ON game_id = l_orderkey AND team_id = l_suppkey JOIN supplier ON s_suppkey = team_id""",
     "refreshed_features": f"""WITH {FORM}
 SELECT game_id, team_id, season_id, {_long('gp')} AS prior_games, {_long('w')} AS prior_wins,
   {_long('w5')} AS last5_wins, {_long('streak')} AS streak, CAST(rest AS INTEGER) AS rest_days FROM form""",
@@ -431,6 +440,10 @@ JOIN form a ON a.game_id = g.game_id AND NOT a.is_home JOIN h2h ON h2h.game_id =
 
 ORACLE["prediction_features"] = f"{_PREDICTION} SELECT * FROM features"
 
+ORACLE["refreshed_predictions"] = f"""{_PREDICTION}
+SELECT game_id, home_team_id, away_team_id, home_prior_games, away_prior_games, home_streak, away_streak,
+  h2h_meetings, home_win FROM features"""
+
 ORACLE["baseline_metrics"] = f"""{_PREDICTION}, p AS (
   SELECT home_win = 1 AS y, diff_prior_win_pct >= 0 AS p FROM features WHERE home_win IS NOT NULL),
 c AS (

@@ -439,6 +439,23 @@ def with_dimensions(games: DataFrame, teams: DataFrame, venues: DataFrame, confe
     )
 
 
+def games_of_conferences(games: DataFrame, teams: DataFrame, conferences: DataFrame) -> DataFrame:
+    """Games in which at least one team belongs to one of the given conferences."""
+    members = teams.join(conferences.select("conference_id"), "conference_id", "left_semi").select("team_id")
+    sides = games.select("game_id", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    wanted = sides.join(members, "team_id", "left_semi").select("game_id").distinct()
+    return games.join(wanted, "game_id", "left_semi")
+
+
+def game_statistics(stats: DataFrame, games: DataFrame, teams: DataFrame) -> DataFrame:
+    """Team statistics with their game and team: site, result and team name."""
+    sides = team_games(games).select(
+        "game_id", "team_id", "opponent_id", "is_home", F.col("day").alias("game_day"), "win"
+    )
+    named = teams.select("team_id", F.col("name").alias("team"))
+    return stats.join(sides, ["game_id", "team_id"]).join(named, "team_id")
+
+
 def feature_summary(features: DataFrame, columns: tuple[str, ...] | None = None) -> DataFrame:
     """Count, nulls, minimum, maximum and mean per numeric column, in long form, one pass."""
     numeric = ("int", "bigint", "double", "float", "smallint")
@@ -502,3 +519,28 @@ def refresh_team_performance(games: DataFrame, stored: DataFrame, touched: DataF
     kept = stored.join(keys, TEAM_SEASON, "left_anti")
     return kept.unionByName(fresh.select(*stored.columns))
 
+
+def refresh_prediction_features(games: DataFrame, stored: DataFrame, changed: DataFrame) -> DataFrame:
+    """Stored prediction features with every row a changed game reaches computed anew.
+
+    ``changed`` holds old and new versions of the changed games. They reach the games of
+    both teams in that season and later meetings of the pair in any season. Computing those
+    needs the whole seasons of all their teams and the whole history of their pairs.
+    """
+    groups = touched_groups(changed, changed.limit(0))
+    pairs = changed.withColumns(pair_columns()).select(*PAIR).distinct()
+    paired = games.withColumns(pair_columns())
+
+    def with_team(keys: DataFrame) -> DataFrame:
+        """Ids of games with a side in the given (team, season) groups."""
+        sides = paired.select("game_id", "season_id", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+        return sides.join(keys, TEAM_SEASON, "left_semi").select("game_id")
+
+    reached_ids = with_team(groups).unionByName(paired.join(pairs, PAIR, "left_semi").select("game_id")).distinct()
+    reached = paired.join(reached_ids, "game_id", "left_semi")
+    seasons = with_team(touched_groups(reached, reached.limit(0)))
+    history = paired.join(reached.select(*PAIR).distinct(), PAIR, "left_semi").select("game_id")
+    needed = games.join(seasons.unionByName(history).distinct(), "game_id", "left_semi")
+    fresh = prediction_features(needed).join(reached_ids, "game_id", "left_semi")
+    kept = stored.join(reached_ids, "game_id", "left_anti")
+    return kept.unionByName(fresh.select(*stored.columns))

@@ -50,15 +50,38 @@ def migrate(spark: SparkSession, legacy: DataFrame, root: str, spec: TableSpec =
     ).select(F.lit(spec.name).alias("table"), "*")
 
 
-def migrate_all(
-    spark: SparkSession, legacy_scoreboard: DataFrame, legacy_teams: DataFrame | None, root: str
+TABLES = {"scoreboard": SCOREBOARD, "teams": TEAMS}
+
+
+def migrate_endpoint(
+    spark: SparkSession, endpoint: str, legacy: dict[str, DataFrame], root: str, check: bool = True
 ) -> DataFrame:
-    result = migrate(spark, legacy_scoreboard, root, SCOREBOARD)
-    if legacy_teams is not None:
-        result = result.unionByName(migrate(spark, legacy_teams, root, TEAMS))
+    """Migrate ``all``, ``scoreboard`` or ``teams``, or only ``validate``; one row per table.
+
+    ``legacy`` maps table names to legacy frames. With ``check`` the contents are compared
+    afterwards and ``success`` tells whether they agree.
+    """
+    if endpoint not in ("all", "validate", *TABLES):
+        raise ValueError(f"Unknown endpoint: {endpoint}. Expected all, scoreboard, teams or validate.")
+    names = [endpoint] if endpoint in TABLES else [n for n in TABLES if n in legacy]
+    result = None
+    for name in names:
+        if endpoint == "validate":
+            row = validate_table(spark, legacy[name], root, TABLES[name]).withColumn("success", F.col("content_match"))
+        else:
+            row = migrate(spark, legacy[name], root, TABLES[name])
+            if check:
+                compared = validate_table(spark, legacy[name], root, TABLES[name])
+                row = row.join(compared.select("table", F.col("content_match").alias("success")), "table")
+        result = row if result is None else result.unionByName(row)
     return result
 
 
+def legacy_dates(legacy: DataFrame) -> DataFrame:
+    """Distinct dates of the legacy table."""
+    return legacy.select("date").distinct()
+
+
 def compare(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: matched, different, missing (source only) or extra (target only).
 

@@ -461,6 +461,25 @@ def conference_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.conference_flag(unmarked, tables.teams(spark, sf_dir)).select("game_id", "conference_game")
 
 
+@query
+def division_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games with a team from one division's conferences."""
+    asia = tables.conferences(spark, sf_dir).join(
+        tables.divisions(spark, sf_dir).where("division = 'ASIA'"), "division_id", "left_semi"
+    )
+    return gold.games_of_conferences(_silver_games(spark, sf_dir), tables.teams(spark, sf_dir), asia).select(
+        "game_id", "home_team_id", "away_team_id"
+    )
+
+
+@query
+def game_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box scores of the two teams of each game, with site, result and team name."""
+    stats = silver.team_stats(tables.box_scores(spark, sf_dir), tables.BOX_SCORE_COLUMNS)
+    joined = gold.game_statistics(stats, tables.games(spark, sf_dir), tables.teams(spark, sf_dir))
+    return joined.select("game_id", "team_id", "team", "opponent_id", "is_home", "win", "rebounds", "assists")
+
+
 @query
 def refreshed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features built before scheduled games were played, then refreshed for touched teams.
@@ -495,6 +514,25 @@ def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.classification_metrics(features.withColumn("prediction", pick))
 
 
+@query
+def refreshed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction features stored before a late correction, then refreshed where it reaches.
+
+    The correction moves the in-progress games of the latest day that has any.
+    """
+    games = _silver_games(spark, sf_dir)
+    last_day = games.where("status = 'in_progress'").agg(F.max("date").alias("date"))
+    corrected = games.where("status = 'in_progress'").join(last_day, "date", "left_semi")
+    late = corrected.select("game_id", F.lit(True).alias("_late"))
+    before = games.join(late, "game_id", "left").withColumns(
+        {s: F.when(F.col("_late").isNull(), F.col(s)) for s in ("home_score", "away_score")}
+    ).drop("_late")
+    columns = ["game_id", "home_team_id", "away_team_id", "home_prior_games", "away_prior_games",
+               "home_streak", "away_streak", "h2h_meetings", "home_win"]
+    stored = materialize(gold.prediction_features(before).select(*columns))
+    return gold.refresh_prediction_features(games, stored, corrected)
+
+
 # --- quality and lineage ------------------------------------------------------------
 
 
