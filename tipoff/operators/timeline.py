@@ -191,24 +191,34 @@ def look_back(
     rows: DataFrame,
     keys: Sequence[str],
     position: str,
-    longest: int,
+    counted: Column,
     features: Mapping[str, tuple[int, Column]],
     split: bool = False,
 ) -> DataFrame:
-    """Aggregate over the last ``n`` positions before each row.
+    """Aggregate over the last ``n`` counted rows before each row.
+
+    ``features`` maps an output name to ``(n, aggregate)``; aggregates must ignore rows
+    that are not counted. Where nothing precedes a row its features are null or zero.
 
-    ``features`` maps an output name to ``(n, aggregate)``, with every ``n`` at most
-    ``longest``. For hot groups (``split``) a timeline is cut into blocks of
-    ``BLOCK_ROWS`` positions; the last ``longest`` positions of a block are repeated in
-    the next one, so a task sees a block, never a whole key.
+    For hot groups (``split``) the counted rows, whose positions are unique, are cut into
+    blocks of ``BLOCK_ROWS`` positions, with the last rows of a block repeated in the next
+    one. What they yield up to and including a position is then joined to all rows that
+    stand one position further.
     """
-    if any(n > longest for n, _ in features.values()):
-        raise ValueError("a look-back is longer than the rows kept for it")
-    if split:
-        rows, keys = _in_blocks(rows, position, longest), [*keys, "_block"]
-    ordered = Window.partitionBy(*keys).orderBy(position)
-    rows = rows.withColumns({name: agg.over(ordered.rangeBetween(-n, -1)) for name, (n, agg) in features.items()})
-    return rows.where(~F.col("_copy")).drop("_block", "_copy") if split else rows
+    if not split:
+        ordered = Window.partitionBy(*keys).orderBy(position)
+        return rows.withColumns(
+            {name: agg.over(ordered.rangeBetween(-n, -1)) for name, (n, agg) in features.items()}
+        )
+    blocks = _in_blocks(rows.where(counted), position, max(n for n, _ in features.values()))
+    ordered = Window.partitionBy(*keys, "_block").orderBy(position)
+    known = blocks.select(
+        *keys,
+        (F.col(position) + 1).alias(position),
+        "_copy",
+        *[agg.over(ordered.rangeBetween(1 - n, 0)).alias(name) for name, (n, agg) in features.items()],
+    )
+    return rows.join(known.where(~F.col("_copy")).drop("_copy"), [*keys, position], "left")
 
 
 def _in_blocks(rows: DataFrame, position: str, longest: int) -> DataFrame:

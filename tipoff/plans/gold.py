@@ -163,7 +163,8 @@ def _recent_form(timeline: DataFrame, spans: tuple[int, ...], split: bool) -> Da
     features = {k: v for n in spans for k, v in _recent_features(n).items()}
     longest = max(spans)
     features |= _trend_sums(longest)
-    rows = look_back(timeline, TEAM_SEASON, "position", longest, features, split)
+    rows = look_back(timeline, TEAM_SEASON, "position", F.col("played"), features, split)
+    rows = rows.fillna(0, [f"last{n}_{what}" for n in spans for what in ("games", "wins", "losses")])
     for n in spans:
         count = F.col(f"last{n}_games")
         rows = rows.withColumns(
