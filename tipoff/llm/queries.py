@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import html, warc
+from tipoff.llm import html, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,7 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": warc.op5_warc,
     "op7_html_text": op7_html_text,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {"op5_warc": warc.ORACLE_SQL}
