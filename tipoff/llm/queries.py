@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import html, packing, toxicity, warc
+from tipoff.llm import embeddings, html, packing, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,7 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": embeddings.op1_embedding_dedup,
     "op2_packing": packing.op2_packing,
     "op5_warc": warc.op5_warc,
     "op7_html_text": op7_html_text,
