@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import embeddings, html, packing, toxicity, warc
+from tipoff.llm import decontamination, embeddings, html, packing, passages, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": embeddings.op1_embedding_dedup,
     "op2_packing": packing.op2_packing,
     "op5_warc": warc.op5_warc,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op7_html_text": op7_html_text,
+    "op8_substring_dedup": passages.op8_substring_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
