@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import decontamination, embeddings, html, jaccard, lines, packing, passages, toxicity, warc
+from tipoff.llm import decontamination, embeddings, html, jaccard, language_model, lines, packing, passages, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,7 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": embeddings.op1_embedding_dedup,
     "op2_packing": packing.op2_packing,
+    "op3_lm_score": language_model.op3_lm_score,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_warc": warc.op5_warc,
     "op6_decontamination": decontamination.op6_decontamination,
