@@ -71,22 +71,24 @@ def _chunk_rows(docs: DataFrame, whole: bool) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, "doc long, row long, chunk binary")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, n_chunks, n_removed_chunks, kept): ``kept`` is the remaining text."""
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``keep``, n_lines, n_removed, n_chunks, n_removed_chunks, and ``kept``: the remaining text."""
+    extra = [c for c in keep if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text", *extra)
     texts = _chunk_rows(rows, whole=True).groupBy("chunk").agg(F.min("doc").alias("owner"), F.max("doc").alias("other"))
     owners = texts.where("owner < other").select(F.unhex(F.md5("chunk")).alias("chunk"), "owner")
     copies = _chunk_rows(rows, whole=False).join(owners, "chunk").where("doc > owner")
     per_row = copies.groupBy("row").agg(F.collect_set("chunk").alias("gone"))
-    joined = rows.join(per_row.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "gone")
-    schema = "doc_id long, n_lines long, n_removed long, n_chunks long, n_removed_chunks long, kept string"
+    joined = rows.join(per_row.hint("shuffle_hash"), "row", "left").select("text", "gone", *keep)
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    schema += "n_lines long, n_removed long, n_chunks long, n_removed_chunks long, kept string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 out = []
-                for doc, text, gone in zip(*[c.to_pylist() for c in part.columns]):
+                for text, gone in zip(*[c.to_pylist() for c in part.columns[:2]]):
                     found = chunks(text)
                     left, seen, gone = [], set(), set(gone or ())
                     for lines in found:
@@ -96,10 +98,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                         seen.add(key)
                     n = sum(map(len, found))
                     kept = b"\n".join(line for lines in left for line in lines)
-                    out.append((doc, n, n - sum(map(len, left)), len(found), len(found) - len(left), kept.decode()))
-                types = [*[pa.int64()] * 5, pa.string()]
-                names = ["doc_id", "n_lines", "n_removed", "n_chunks", "n_removed_chunks", "kept"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out.append((n, n - sum(map(len, left)), len(found), len(found) - len(left), kept.decode()))
+                types = [*[pa.int64()] * 4, pa.string()]
+                names = [*keep, "n_lines", "n_removed", "n_chunks", "n_removed_chunks", "kept"]
+                made = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], *made], names)
 
     return joined.mapInArrow(run, schema)
 
