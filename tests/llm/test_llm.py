@@ -146,8 +146,8 @@ def test_packing_rounds(spark, nothing):
     rows = [(i, i, 0, 0, n, 1) for i, n in enumerate(lengths)]
     df = spark.createDataFrame(rows, "doc_id long, row long, piece int, start long, length long, ids_crc32 long")
     one = check_packed(packing.pack(df).collect(), 2048)
-    many = packing.pack(df, part_pieces=100).collect()
-    assert len(many) == 3000 and check_packed(many, 2048) <= one + 3
+    many = packing.pack(df, part_pieces=1000).collect()
+    assert len(many) == 3000 and check_packed(many, 2048) <= 1.02 * one
     assert packing.pack(packing.pieces(nothing, public_tokenizers.path(packing.VOCABULARY))).count() == 0
 
 

@@ -136,7 +136,7 @@ def _union_box(df: DataFrame, *keys: str) -> DataFrame:
 
     def fold(name: str, pick):
         return F.aggregate(
-            F.slice(F.collect_list(name), 2, 2147483647),
+            F.collect_list(name),
             F.element_at(F.collect_list(name), 1),
             lambda a, b: F.zip_with(a, b, lambda x, y: pick(x, y)),
         ).alias(name)

@@ -143,6 +143,8 @@ class Lines(HTMLParser):
             self._links += len(data.strip())
 
     def close(self) -> None:
+        if self.rawdata.startswith("<!--"):  # a comment that never ends
+            self.rawdata = ""
         super().close()
         self._flush()
 
