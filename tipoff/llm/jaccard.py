@@ -40,9 +40,9 @@ from tipoff.llm.components import components, forest
 from tipoff.session import materialize
 
 SHINGLE = 5
-BUCKET_SHINGLES = 4_000_000
+BUCKET_SHINGLES = 2_000_000
 TILE_SHINGLES = 4_000_000
-FLUSH_BYTES = 12 << 20
+FLUSH_BYTES = 8 << 20
 POSITION_BLOCK = 16
 
 

@@ -17,7 +17,9 @@ are documents of their own; an empty table gives no pieces; further columns are
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,54 +35,47 @@ CAPACITY = 2048
 END_ID = 0
 PART_PIECES = 50_000
 ROUNDS = 4
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_200_000
 VOCABULARY = "word_bpe_49k.json"
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of blank-free strings, each encoded once per task.
+class WordIds:
+    """Little-endian 32-bit ids of blank-free strings, each encoded once as long as it is held.
 
     The tokenizer's rules never look across white space, so ids of a text are those of its
     blank-separated parts in order. Only blanks that every reader agrees on are cut at.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = out = self.encode(word)
-        return out
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def prepare(self, texts: list[str]) -> None:
-        """Encode the words of several texts that are not known yet, together."""
-        new = set().union(*[t.split(" ") for t in texts]).difference(self)
-        if len(self) + len(new) >= CACHE_WORDS:
-            self.clear()
-            new = set().union(*[t.split(" ") for t in texts])
-        words = list(new)
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
+        self.known: dict[str, bytes] = {}
+
+    def of(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of every text; words that are new to all of them are encoded together."""
+        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
+        known = self.known
+        new = list({w for own in words for w in own if w not in known})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
             for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+                known[word] = array("I", found.ids).tobytes()
+        for own in words:
+            yield b"".join([known[w] for w in own])
 
 
-_BLANKS = str.maketrans("\n\t\r", "   ")
+_HELD: dict[str, WordIds] = {}
 
 
-def token_ids(texts: list[str], words: WordIds) -> Iterator[bytes]:
-    """Ids of every text, as little-endian 32-bit numbers."""
-    plain = [t.translate(_BLANKS) for t in texts]
-    words.prepare(plain)
-    for t in plain:
-        yield b"".join(map(words.__getitem__, t.split(" ")))
+def token_ids(texts: list[str], vocabulary: str) -> Iterator[bytes]:
+    """Ids of every text, as little-endian 32-bit numbers; a Python worker keeps the words it knows."""
+    if vocabulary not in _HELD:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+        _HELD[vocabulary] = WordIds(vocabulary)
+    return _HELD[vocabulary].of(texts)
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -89,16 +84,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
                 texts = [t or "" for t in part.column(2).to_pylist()]
-                for doc_id, row, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), token_ids(texts, words)):
+                for doc_id, row, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), token_ids(texts, vocabulary)):
                     data = found + end
                     for number, begin in enumerate(range(0, len(data), 4 * capacity)):
                         piece = data[begin : begin + 4 * capacity]

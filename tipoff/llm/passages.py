@@ -32,8 +32,8 @@ from tipoff.session import materialize
 
 WINDOW = 50
 SEED = 5
-BUCKET_STRINGS = 80_000  # packed strings of a bucket, about 400 bytes each before compression
-FLUSH_BYTES = 12 << 20  # text a task reads before it ships its rows
+BUCKET_STRINGS = 40_000  # packed strings of a bucket, about 400 bytes each before compression
+FLUSH_BYTES = 8 << 20  # text a task reads before it ships its rows
 HOT_STRINGS = 50_000
 HOT_LIMIT = 1_000_000
 
@@ -134,22 +134,26 @@ def _ship(docs: DataFrame, buckets: int, hot: np.ndarray, window: int, seed: int
     return docs.mapInArrow(run, _ROWS)
 
 
-def _first_equal(data: bytes, part: tx.Slice, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _first_equal(data: bytes, part: tx.Slice, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Of all windows of the strings (rows of ``part``): string, and number of the first equal window.
 
     Hashes sort the windows; runs of windows that seem equal to earlier runs are compared byte
     by byte. Should a hash ever lie, windows are told apart by their bytes alone.
     """
-    starts, ends, rows = tx.spans(part, tx.BLANK_SEPARATED)
-    at = tx.window_starts(rows, window)
-    hashes = tx.window_hashes(tx.word_hashes(part, starts, ends), at, window)
+    found = []
+    for some in tx.parts(part):
+        starts, ends, rows = tx.spans(some, tx.BLANK_SEPARATED)
+        at = tx.window_starts(rows, window)
+        hashes = tx.window_hashes(tx.word_hashes(some, starts, ends), at, window)
+        byte = part.offsets[some.first]
+        found.append((hashes, starts[at] + byte, ends[at + window - 1] + byte, rows[at] + some.first))
+    hashes, lo, hi, string = [np.concatenate(x) for x in zip(*found)]
     order = np.argsort(hashes, kind="stable")
     in_order = hashes[order]
     new = np.concatenate([[True], in_order[1:] != in_order[:-1]]) if len(order) else np.zeros(0, bool)
-    first = np.empty(len(at), np.int64)
+    first = np.empty(len(hashes), np.int64)
     first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
-    lo, hi, string = starts[at], ends[at + window - 1], rows[at]
-    copy = np.flatnonzero(first != np.arange(len(at)))
+    copy = np.flatnonzero(first != np.arange(len(hashes)))
     if len(copy):
         head = np.concatenate(
             [[True], (copy[1:] != copy[:-1] + 1) | (first[copy[1:]] != first[copy[:-1]] + 1)
@@ -165,7 +169,7 @@ def _first_equal(data: bytes, part: tx.Slice, window: int) -> tuple[np.ndarray,
         if not same:
             seen: dict[bytes, int] = {}
             first = np.array([seen.setdefault(data[x:y], i) for i, (x, y) in enumerate(zip(lo.tolist(), hi.tolist()))])
-    return at, string, first
+    return string, first
 
 
 RANGES = "row long, first long, last long"
@@ -193,7 +197,7 @@ def _count(window: int):
         string, doc, key, place = [np.concatenate(x) for x in (strings, docs, keys, firsts)]
         least = np.full(n, tx.MAX_ID)
         np.minimum.at(least, string, doc)
-        _, of, first = _first_equal(data, part, window)
+        of, first = _first_equal(data, part, window)
         owner = np.full(len(of), tx.MAX_ID)
         np.minimum.at(owner, first, least[of])
         owner = owner[first]

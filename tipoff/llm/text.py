@@ -78,7 +78,6 @@ class Slice(NamedTuple):
 
 def slices(column: pa.Array | pa.ChunkedArray, limit: int | None = None) -> Iterator[Slice]:
     """Byte arrays of a string column, ``limit`` bytes (or one row) at a time; null is empty."""
-    limit = limit or SLICE_BYTES
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_string())
@@ -88,11 +87,16 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int | None = None) -> Iter
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    at = 0
+    yield from parts(Slice(0, offsets, data), limit)
+
+
+def parts(part: Slice, limit: int | None = None) -> Iterator[Slice]:
+    """A slice in pieces of ``limit`` bytes (or one row); ``first`` counts within the slice."""
+    offsets, n, at = part.offsets, len(part.offsets) - 1, 0
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
-        part = offsets[at : end + 1]
-        yield Slice(at, part - part[0], data[part[0] : part[-1]])
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (limit or SLICE_BYTES), "right")) - 1)
+        own = offsets[at : end + 1]
+        yield Slice(at, own - own[0], part.data[own[0] : own[-1]])
         at = end
 
 
