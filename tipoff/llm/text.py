@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text a task holds as arrays at once; one longer row makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 MAX_ID = np.iinfo(np.int64).max
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
