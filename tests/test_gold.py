@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -30,11 +31,11 @@ def by_game(df, team, *columns):
     return [tuple(r[c] for c in columns) if len(columns) > 1 else r[columns[0]] for r in rows]
 
 
-def test_record_of_one_win_and_one_loss(spark):
-    games = schedule(spark, [("1", 0, "Duke", "UNC", 75, 70), ("2", 3, "UVA", "Duke", 70, 65)])
-    row = gold.season_record(games).where("team_id = 'Duke'").first()
-    assert (row.games_played, row.wins, row.losses, row.win_pct) == (2, 1, 1, 0.5)
-    assert (row.avg_points_for, row.avg_points_against) == (70.0, 70.0)
+def test_record_of_two_wins_and_one_loss(spark):
+    rows = [("a", 0, "Otters", "Newts", 41, 38), ("b", 2, "Toads", "Otters", 50, 29), ("c", 5, "Otters", "Toads", 35, 11)]
+    row = gold.season_record(schedule(spark, rows)).where("team_id = 'Otters'").first()
+    assert (row.games_played, row.wins, row.losses, round(row.win_pct, 6)) == (3, 2, 1, 0.666667)
+    assert (row.avg_points_for, row.avg_points_against) == (35.0, 33.0)
 
 
 def test_tie_points_count_but_the_game_does_not(spark):
@@ -104,31 +105,55 @@ def test_features_do_not_see_the_game_or_later_ones(spark):
     assert set(partial.collect()) == expected and len(expected) == 6
 
 
-FORCED = ["team_performance", "head_to_head"]
+def odd_schedule(spark):
+    """Games with null seasons and null days, and a team in most rows."""
+    games = tables.games(spark, DATA).where("game_id % 3 = 0")
+    hot = schedule(spark, [(f"h{i:03d}", i // 3, "HOT", f"T{i % 7}", (i * 7) % 50, (i * 11) % 50) for i in range(90)])
+    names = hot.columns
+    both = games.select(*[F.col(c).cast(hot.schema[c].dataType).alias(c) for c in names]).unionByName(hot)
+    number = F.crc32("game_id")
+    return both.withColumns(
+        {"season_id": F.when(number % 5 > 0, F.col("season_id")), "date": F.when(number % 7 > 0, F.col("date"))}
+    )
 
 
-@pytest.mark.parametrize("name", FORCED)
-def test_hot_groups_give_the_same_result(spark, monkeypatch, name):
-    """The ways for ordinary and hot groups agree, with some groups hot and with all hot."""
-    games = tables.games(spark, DATA)
+@pytest.mark.parametrize("name", ["team_performance", "head_to_head", "prediction_features"])
+def test_block_size_does_not_change_the_result(spark, monkeypatch, name):
+    games = odd_schedule(spark)
     build = getattr(gold, name)
-    expected = set(build(games).collect())
-    monkeypatch.setattr(timeline, "BLOCK_ROWS", 12)
-    for limit in (0, 20):
-        monkeypatch.setattr(timeline, "HOT_ROWS", limit)
-        rows = build(games).collect()
-        assert len(rows) == len(expected)
-        assert set(rows) == expected
-
-
-def test_one_hot_team(spark, monkeypatch):
-    """A team in a third of all rows is computed in parts and stays exact."""
-    rows = [(f"{i:04d}", i // 3, "HOT", f"T{i % 7}", (i * 7) % 50, (i * 11) % 50) for i in range(300)]
-    games = schedule(spark, rows)
-    expected = set(gold.team_performance(games).collect())
-    monkeypatch.setattr(timeline, "HOT_ROWS", 100)
-    monkeypatch.setattr(timeline, "BLOCK_ROWS", 32)
-    assert set(gold.team_performance(games).collect()) == expected
+    expected = Counter(build(games).collect())
+    for size in (1, 12):
+        monkeypatch.setattr(timeline, "BLOCK_ROWS", size)
+        assert Counter(build(games).collect()) == expected
+
+
+def test_null_seasons_and_days_lose_no_row(spark):
+    """The plan for all groups against a loop over each team's games."""
+    games = odd_schedule(spark)
+    rows = gold.team_games(games).collect()
+    want = {}
+    for key in {(r.team_id, r.season_id) for r in rows}:
+        own = sorted((r for r in rows if (r.team_id, r.season_id) == key), key=lambda r: (r.day is not None, r.day or START.date(), r.game_id))
+        wins = losses = 0
+        for r in own:
+            want[(r.game_id, r.team_id)] = (wins, losses)
+            wins, losses = wins + bool(r.win), losses + bool(r.loss)
+    got = gold.season_to_date(games).collect()
+    assert len(got) == len(rows)
+    assert {(r.game_id, r.team_id): (r.prior_wins, r.prior_losses) for r in got} == want
+
+
+def test_refresh_with_null_seasons_equals_a_full_rebuild(spark):
+    before = odd_schedule(spark)
+    number = before.where("season_id is null and home_score is not null").orderBy("game_id").first().game_id
+    after = before.withColumn("home_score", F.when(F.col("game_id") == number, 99).otherwise(F.col("home_score")))
+    changed = [df.where(F.col("game_id") == number) for df in (after, before)]
+    stored = gold.team_performance(before)
+    refreshed = gold.refresh_team_performance(after, stored, gold.touched_groups(*changed))
+    assert Counter(refreshed.collect()) == Counter(gold.team_performance(after).select(*stored.columns).collect())
+    stored = gold.prediction_features(before)
+    refreshed = gold.refresh_prediction_features(after, stored, changed[0].unionByName(changed[1]))
+    assert Counter(refreshed.collect()) == Counter(gold.prediction_features(after).select(*stored.columns).collect())
 
 
 def test_refresh_equals_a_full_rebuild_after_a_correction(spark):

@@ -74,13 +74,13 @@ def parse_date(text: str | date) -> date:
     try:
         return datetime.strptime(text, "%Y-%m-%d").date()
     except (TypeError, ValueError) as err:
-        raise ValueError(f"Invalid date format: {text}. Expected YYYY-MM-DD.") from err
+        raise ValueError(f"{text!r} is not a date of the form 2019-12-30") from err
 
 
 def check_range(start: str | date, end: str | date) -> tuple[date, date]:
     first, last = parse_date(start), parse_date(end)
     if last < first:
-        raise ValueError(f"End date {end} is before start date {start}")
+        raise ValueError(f"the first day {start} lies after {end}")
     return first, last
 
 
@@ -88,7 +88,7 @@ def season_window(season: str) -> tuple[date, date]:
     """``2022-23`` as its first and last day. The suffix must be the next year's."""
     match = re.fullmatch(r"(\d{4})-(\d{2})", season or "")
     if match is None or int(match[2]) != (int(match[1]) + 1) % 100:
-        raise ValueError(f"Invalid season format: {season}. Expected YYYY-YY.")
+        raise ValueError(f"{season!r} is not a season of the form 2014-15")
     start = int(match[1])
     return (
         date(start, SEASON_FIRST_MONTH, SEASON_FIRST_DAY),

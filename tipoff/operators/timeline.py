@@ -1,41 +1,31 @@
 """Running totals and look-back windows that hold under hot keys.
 
-A window partitioned by team sends all rows of a team to one task. That is the right plan
-for ordinary groups: one shuffle. Groups above ``HOT_ROWS`` rows take another way. Their
-timeline is cut into days: rows are ranked and summed inside a day, the day totals, few
-per group, get their opening balance from a small window, and both are added. Look-backs
-cut it into fixed-length blocks and repeat the few rows before each block. Both ways give
-the same result; :func:`by_group_size` sends each group the way its size needs.
+A window partitioned by team would send all rows of a team to one task. Instead every group's
+timeline is cut into days: rows are ranked and summed inside a day, the day totals, few per
+group, get their opening balance from a small window, and both are added. Look-backs cut it
+into fixed-length blocks and repeat the few rows before each block. The plan is the same for
+every group whatever its size. Null keys and null days are values like any other; a null day
+comes first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Rows of one group that a single task may sort, and rows per look-back block of a hot group.
-HOT_ROWS = 1_000_000
+# Rows per look-back block.
 BLOCK_ROWS = 4096
 
 
-def by_group_size(
-    rows: DataFrame,
-    keys: Sequence[str],
-    plain: Callable[[DataFrame], DataFrame],
-    split: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """``plain`` for the rows of ordinary groups, ``split`` for those of hot ones.
-
-    Group sizes come from one map-side aggregate. The hot keys are broadcast: there are at
-    most (all rows / HOT_ROWS) of them. Without any, the adaptive planner finds the
-    second branch empty and drops it.
-    """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(counts.where(F.col("_rows") > HOT_ROWS).select(*keys))
-    usual = plain(rows.join(hot, list(keys), "left_anti"))
-    return usual.unionByName(split(rows.join(hot, list(keys), "left_semi")))
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on equal key columns in which null equals null; the right keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def _before(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
@@ -62,7 +52,7 @@ def leveled_totals(
     """Add, per measure, its total over the rows of the same keys that sort earlier.
 
     Rows sort by ``levels`` and then ``order``; together with ``keys`` they must be
-    unique and the keys and levels not null. The row itself is never included. No task
+    unique. The row itself is never included. No task
     gets more than the rows of one (keys, levels) value, or the distinct values of one
     level below its parent.
     """
@@ -76,7 +66,7 @@ def leveled_totals(
         totals = totals.groupBy(*here).agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
         window = _before(here[:-1], [here[-1]])
         opening = totals.select(*here, *[_total(f"_m_{n}", window).alias(f"_open_{n}") for n in names])
-        result = result.join(opening, here)
+        result = join_same(result, opening, here)
         result = result.withColumns({f"{prefix}{n}": F.col(f"{prefix}{n}") + F.col(f"_open_{n}") for n in names})
         result = result.drop(*[f"_open_{n}" for n in names])
     return result.drop(*[f"_m_{n}" for n in names])
@@ -86,12 +76,7 @@ def prior_totals(
     rows: DataFrame, keys: Sequence[str], day: str, order: Sequence[str], measures: Mapping[str, Column]
 ) -> DataFrame:
     """``prior_<measure>`` over the rows of the same keys that sort earlier by day and order."""
-    before = _before(keys, [day, *order])
-
-    def plain(part: DataFrame) -> DataFrame:
-        return part.withColumns({f"prior_{n}": _total(_whole(c), before) for n, c in measures.items()})
-
-    return by_group_size(rows, keys, plain, lambda part: leveled_totals(part, keys, [day], order, measures))
+    return leveled_totals(rows, keys, [day], order, measures)
 
 
 def entering(
@@ -102,32 +87,14 @@ def entering(
     counted: Column,
     measures: Mapping[str, Column],
     labels: Mapping[str, Column],
-    split: bool = False,
 ) -> DataFrame:
     """Everything known about a timeline just before each row, in one pass.
 
     Adds ``position`` (one plus the number of counted rows before), ``prior_<measure>``
     totals, ``last_<label>`` (position of the latest earlier counted row carrying the
     label, 0 if none) and ``previous_day`` (day of the row before). Rows sort by
-    ``day`` and ``order``. ``split`` picks the way for hot groups.
+    ``day`` and ``order``.
     """
-    if split:
-        return _entering_split(rows, keys, day, order, counted, measures, labels)
-    before = _before(keys, [day, *order])
-    result = rows.withColumns(
-        {
-            "position": _total(F.when(counted, 1), before) + 1,
-            "previous_day": F.lag(day).over(Window.partitionBy(*keys).orderBy(day, *order)),
-            **{f"prior_{n}": _total(_whole(c), before) for n, c in measures.items()},
-        }
-    )
-    seen = {n: F.when(counted & flag, F.col("position")) for n, flag in labels.items()}
-    return result.withColumns(
-        {f"last_{n}": F.coalesce(F.max(c).over(before), F.lit(0)) for n, c in seen.items()}
-    )
-
-
-def _entering_split(rows, keys, day, order, counted, measures, labels) -> DataFrame:
     sums = {"counted": F.when(counted, 1), **measures}
     rows = rows.withColumns({f"_m_{n}": _whole(c) for n, c in sums.items()})
     inside = _before([*keys, day], order)
@@ -170,7 +137,7 @@ def _entering_split(rows, keys, day, order, counted, measures, labels) -> DataFr
         *[F.coalesce(F.max(c).over(earlier), F.lit(0)).alias(f"_open_at_{n}") for n, c in reached.items()],
     )
 
-    joined = result.join(opening, [*keys, day])
+    joined = join_same(result, opening, [*keys, day])
     joined = joined.withColumns(
         {
             "position": F.col("_open_counted") + F.col("_in_counted") + 1,
@@ -193,23 +160,16 @@ def look_back(
     position: str,
     counted: Column,
     features: Mapping[str, tuple[int, Column]],
-    split: bool = False,
 ) -> DataFrame:
     """Aggregate over the last ``n`` counted rows before each row.
 
     ``features`` maps an output name to ``(n, aggregate)``; aggregates must ignore rows
     that are not counted. Where nothing precedes a row its features are null or zero.
 
-    For hot groups (``split``) the counted rows, whose positions are unique, are cut into
-    blocks of ``BLOCK_ROWS`` positions, with the last rows of a block repeated in the next
-    one. What they yield up to and including a position is then joined to all rows that
-    stand one position further.
+    The counted rows, whose positions are unique, are cut into blocks of ``BLOCK_ROWS``
+    positions, with the last rows of a block repeated in the next one. What they yield up
+    to and including a position is then joined to all rows that stand one position further.
     """
-    if not split:
-        ordered = Window.partitionBy(*keys).orderBy(position)
-        return rows.withColumns(
-            {name: agg.over(ordered.rangeBetween(-n, -1)) for name, (n, agg) in features.items()}
-        )
     blocks = _in_blocks(rows.where(counted), position, max(n for n, _ in features.values()))
     ordered = Window.partitionBy(*keys, "_block").orderBy(position)
     known = blocks.select(
@@ -218,7 +178,7 @@ def look_back(
         "_copy",
         *[agg.over(ordered.rangeBetween(1 - n, 0)).alias(name) for name, (n, agg) in features.items()],
     )
-    return rows.join(known.where(~F.col("_copy")).drop("_copy"), [*keys, position], "left")
+    return join_same(rows, known.where(~F.col("_copy")).drop("_copy"), [*keys, position], "left")
 
 
 def _in_blocks(rows: DataFrame, position: str, longest: int) -> DataFrame:

@@ -50,7 +50,7 @@ def select_dates(
     elif history_start:
         spans = [dates.check_range(history_start, dates.yesterday(as_of))]
     else:
-        raise ValueError("No dates specified for ingestion")
+        raise ValueError("the call selects no dates")
     wanted = spark.createDataFrame(spans, "first date, last date")
     days = wanted.select(F.explode(F.sequence("first", "last")).alias("date"))
     return days.distinct().orderBy("date")

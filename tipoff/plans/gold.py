@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tipoff.functions.values import ratio
 from tipoff.operators.reshape import pair_columns, team_rows
-from tipoff.operators.timeline import by_group_size, entering, look_back, prior_totals
+from tipoff.operators.timeline import entering, join_same, look_back, prior_totals
 
 TEAM_SEASON = ["team_id", "season_id"]
 PAIR = ["team_low", "team_high"]
@@ -72,7 +72,7 @@ def _one(flag: Column) -> Column:
     return F.when(flag, 1).otherwise(0)
 
 
-def _timeline(rows: DataFrame, split: bool) -> DataFrame:
+def _timeline(rows: DataFrame) -> DataFrame:
     """Season to date, rest and streak entering each game, in one running-total pass."""
     played, win, loss = F.col("played"), F.col("win"), F.col("loss")
     measures = {
@@ -86,7 +86,7 @@ def _timeline(rows: DataFrame, split: bool) -> DataFrame:
             measures[f"{name}_wins"] = _one(flag & win)
             measures[f"{name}_losses"] = _one(flag & loss)
     labels = {"win": win, "loss": loss, "tie": played & ~win & ~loss}
-    rows = entering(rows, TEAM_SEASON, "day", ["game_id"], played, measures, labels, split)
+    rows = entering(rows, TEAM_SEASON, "day", ["game_id"], played, measures, labels)
     before = F.col("position") - 1
     since_other = [
         F.when(F.col(f"last_{name}") == before, before - F.greatest(*[f"last_{o}" for o in others])).otherwise(0)
@@ -108,9 +108,7 @@ def _timeline(rows: DataFrame, split: bool) -> DataFrame:
 
 def team_timeline(games: DataFrame) -> DataFrame:
     """Each team's state entering each game of its season."""
-    return by_group_size(
-        team_games(games), TEAM_SEASON, lambda r: _timeline(r, False), lambda r: _timeline(r, True)
-    )
+    return _timeline(team_games(games))
 
 
 def season_to_date(games: DataFrame) -> DataFrame:
@@ -158,12 +156,12 @@ def _trend_sums(n: int) -> dict[str, tuple[int, Column]]:
     }
 
 
-def _recent_form(timeline: DataFrame, spans: tuple[int, ...], split: bool) -> DataFrame:
+def _recent_form(timeline: DataFrame, spans: tuple[int, ...]) -> DataFrame:
     """Results, scoring and margin trend over the last ``n`` played games."""
     features = {k: v for n in spans for k, v in _recent_features(n).items()}
     longest = max(spans)
     features |= _trend_sums(longest)
-    rows = look_back(timeline, TEAM_SEASON, "position", F.col("played"), features, split)
+    rows = look_back(timeline, TEAM_SEASON, "position", F.col("played"), features)
     rows = rows.fillna(0, [f"last{n}_{what}" for n in spans for what in ("games", "wins", "losses")])
     for n in spans:
         count = F.col(f"last{n}_games")
@@ -184,12 +182,7 @@ def _recent_form(timeline: DataFrame, spans: tuple[int, ...], split: bool) -> Da
 
 def team_performance(games: DataFrame, spans: tuple[int, ...] = RECENT) -> DataFrame:
     """The team feature set: one row per game and team."""
-    return by_group_size(
-        team_games(games),
-        TEAM_SEASON,
-        lambda rows: _recent_form(_timeline(rows, False), spans, False),
-        lambda rows: _recent_form(_timeline(rows, True), spans, True),
-    ).drop("position")
+    return _recent_form(_timeline(team_games(games)), spans).drop("position")
 
 
 def form(games: DataFrame, n: int) -> DataFrame:
@@ -512,12 +505,12 @@ def refresh_team_performance(games: DataFrame, stored: DataFrame, touched: DataF
     """
     keys = touched.select(*TEAM_SEASON).distinct()
     by_side = [
-        games.join(keys.withColumnRenamed("team_id", f"{s}_team_id"), [f"{s}_team_id", "season_id"], "left_semi")
+        join_same(games, keys.withColumnRenamed("team_id", f"{s}_team_id"), [f"{s}_team_id", "season_id"], "left_semi")
         for s in ("home", "away")
     ]
     ids = by_side[0].select("game_id").unionByName(by_side[1].select("game_id")).distinct()
-    fresh = team_performance(games.join(ids, "game_id", "left_semi")).join(keys, TEAM_SEASON, "left_semi")
-    kept = stored.join(keys, TEAM_SEASON, "left_anti")
+    fresh = join_same(team_performance(games.join(ids, "game_id", "left_semi")), keys, TEAM_SEASON, "left_semi")
+    kept = join_same(stored, keys, TEAM_SEASON, "left_anti")
     return kept.unionByName(fresh.select(*stored.columns))
 
 
@@ -535,7 +528,7 @@ def refresh_prediction_features(games: DataFrame, stored: DataFrame, changed: Da
     def with_team(keys: DataFrame) -> DataFrame:
         """Ids of games with a side in the given (team, season) groups."""
         sides = paired.select("game_id", "season_id", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
-        return sides.join(keys, TEAM_SEASON, "left_semi").select("game_id")
+        return join_same(sides, keys, TEAM_SEASON, "left_semi").select("game_id")
 
     reached_ids = with_team(groups).unionByName(paired.join(pairs, PAIR, "left_semi").select("game_id")).distinct()
     reached = paired.join(reached_ids, "game_id", "left_semi")

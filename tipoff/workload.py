@@ -199,7 +199,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark)
     for capture in _captures(spark, sf_dir):
         landed = capture.select("date", "source_url", "parameters", "content_hash", "raw_data", "created_at")
-        landed.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        landed.write.mode("append").parquet(f"{root}/landing")
         records = landing.stream_records(spark, f"{root}/landing")
         drain(stream_to_bronze(spark, records, root, f"{root}/_checkpoint", stream="orders"))
     return _bronze_state(bronze.read_table(spark, root, bronze.SCOREBOARD))
