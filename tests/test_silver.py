@@ -35,7 +35,7 @@ def side(team, home_away, score):
 def document(seed):
     """A made-up scoreboard document with one finished game of which one side is known."""
     team, venue, game = str(7_000 + seed), str(90_000 + seed), f"g-{seed}"
-    home = side(team, "home", str(80 + seed)) | {"statistics": [{"name": n, "displayValue": str(seed + i)} for i, n in enumerate("xyz")]}
+    home = side(team, "home", str(80 + seed)) | {"statistics": [{"name": n, "displayValue": str(seed + i)} for i, n in enumerate(("rebounds", "assists", "fieldGoalPct"))]}
     home["team"] |= {"displayName": f"Team {seed}", "color": f"{seed:06x}", "alternateColor": f"{seed + 170:06x}"}
     match = event(game, f"2031-0{1 + seed % 3}-09T18:30Z", [home])
     match["season"] = {"year": 2031, "type": 3, "slug": "made-up"}
@@ -133,16 +133,16 @@ def test_teams_venues_and_statistics(spark):
     venue = silver.venues(rows).first()
     assert (venue.venue_id, venue.city, venue.state, venue.capacity, venue.country) == ("90004", "City 4", "S4", None, None)
     stats = silver.team_stats(silver.statistics_records(rows)).first()
-    assert (stats.points, stats.rebounds, stats.assists, stats.field_goal_pct, stats.steals) == (72, 35, 13, 47.5, None)
+    assert (stats.points, stats.rebounds, stats.assists, stats.field_goal_pct, stats.steals) == (84, 4, 5, 6.0, None)
     assert silver.team_stats_long(silver.statistics_records(rows)).count() == 3
 
 
 def test_team_pages(spark):
-    page = {"count": 355, "pageIndex": 1, "pageSize": 100, "pageCount": 4,
-            "items": [{"id": "2", "displayName": "Auburn Tigers", "color": "002b5c"}, {"id": "6", "displayName": "UAB Blazers", "color": "054338"}]}
+    page = {"count": 12, "pageIndex": 2, "pageSize": 6, "pageCount": 2,
+            "items": [{"id": "t1", "displayName": "Team One", "color": "0a1b2c"}, {"id": "t2", "displayName": "Team Two", "color": "abc0de"}]}
     table = spark.createDataFrame([("p1", "h", json.dumps(page), T0)], "parameters string, content_hash string, raw_data string, created_at timestamp")
     rows = silver.teams([silver.teams_in_pages(table)]).orderBy("team_id").collect()
-    assert [(r.team_id, r.name, r.color) for r in rows] == [("2", "Auburn Tigers", "#002B5C"), ("6", "UAB Blazers", "#054338")]
+    assert [(r.team_id, r.name, r.color) for r in rows] == [("t1", "Team One", "#0A1B2C"), ("t2", "Team Two", "#ABC0DE")]
 
 
 def test_repeated_statistic_keeps_the_last_value(spark):
