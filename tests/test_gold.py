@@ -197,3 +197,35 @@ def test_games_of_conferences_and_statistics(spark):
     stats = spark.createDataFrame([("1", "A", 30), ("1", "Z", 5)], "game_id string, team_id string, rebounds int")
     rows = gold.game_statistics(stats, games, teams).collect()
     assert [(r.team, r.is_home, r.win, r.rebounds) for r in rows] == [("a", True, True, 30)]
+
+
+def test_games_that_are_not_final_count_for_nobody(spark):
+    games = schedule(spark, [("1", 0, "A", "B", 5, 2), ("2", 1, "A", "B", 9, 9), ("3", 2, "A", "B", 0, 0), ("4", 3, "A", "B", 1, 7), ("5", 4, "A", "B", None, None)])
+    unfinished = F.when(F.col("game_id") == "3", "scheduled").when(F.col("game_id") == "4", "in_progress")
+    games = games.withColumn("status", F.coalesce(unfinished, F.col("status")))
+    # One win and one tie: the tie belongs to neither part of the share.
+    assert by_game(gold.form(games, 5), "A", "last5_games", "last5_wins", "last5_losses", "last5_win_pct")[-1] == (2, 1, 0, 1.0)
+    labels = {r.game_id: (r.home_win, r.spread) for r in gold.prediction_features(games).collect()}
+    assert labels == {"1": (1, 3), "2": (None, 0), "3": (None, None), "4": (None, None), "5": (None, None)}
+    assert gold.historical_performance(games).first().meetings == 2
+
+
+def test_every_line_is_in_a_game_or_listed(spark):
+    lines = tables.load(spark, DATA, "lineitem").count()
+    unpaired = tables.unpaired_lines(spark, DATA)
+    assert 2 * tables.games(spark, DATA).count() + unpaired.count() == lines
+    assert {r.reason for r in unpaired.select("reason").distinct().collect()} <= {"last line", "same team", "no order"}
+
+
+def test_lines_without_team_order_or_mate(spark, tmp_path):
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    line = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string"
+    teams = [(1, 1, 7), (1, 2, 8), (1, 3, 9), (1, 4, 9), (1, 5, 7), (2, 1, 7), (2, 2, None), (3, 1, 7), (3, 2, 8)]
+    write("lineitem", [(o, n, t, 1, 2.0, 3.0, "N") for o, n, t in teams], line)
+    write("orders", [(o, "F", START, 1, "x") for o in (1, 2)], "o_orderkey long, o_orderstatus string, o_orderdate timestamp, o_custkey long, o_orderpriority string")
+    assert [(r.home_team_id, r.away_team_id) for r in tables.games(spark, str(tmp_path)).collect()] == [(7, 8)]
+    left = {(r.l_orderkey, r.l_linenumber): r.reason for r in tables.unpaired_lines(spark, str(tmp_path)).collect()}
+    same = dict.fromkeys([(1, 3), (1, 4), (2, 1), (2, 2)], "same team")
+    assert left == same | {(1, 5): "last line", (3, 1): "no order", (3, 2): "no order"}

@@ -237,3 +237,19 @@ def test_conferences_have_unique_ids(spark):
     table = silver.conferences(spark)
     assert table.select("conference_id").distinct().count() == table.count()
     assert table.where(F.col("short_name") == "SEC").first().conference_id == "23"
+
+
+@pytest.mark.parametrize(("state", "score", "live"), [("pre", None, None), ("in", None, 3), ("post", 3, None)])
+def test_scores_before_and_during_a_game_are_no_result(spark, state, score, live):
+    sides = [side("1", "home", "3"), side("2", "away", "3")]
+    row = games_of(spark, {"events": [event(competitors=sides, status={"type": {"state": state}})]}).first()
+    assert (row.home_score, row.away_score, row.home_live_score, row.away_live_score) == (score, score, live, live)
+
+
+def test_several_rows_of_a_game_are_one_game(spark):
+    rows = [("1", "g", "s", 4), ("1", "g", "s", 6), ("1", "h", "s", 5)]
+    stats = spark.createDataFrame(rows, "team_id string, game_id string, season_id string, rebounds int")
+    missing = [c for c in schemas.COUNT_STATISTICS if c != "rebounds"]
+    stats = stats.withColumns({c: F.lit(None).cast("int") for c in missing})
+    row = silver.season_team_stats(stats).first()
+    assert (row.games, row.rebounds) == (2, 15)

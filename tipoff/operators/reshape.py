@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def final_result(points: str, other_points: str) -> Column:
+    """Whether a game is final and has both scores: points of other games are no result."""
+    final = F.col("status").eqNullSafe("final")
+    return final & F.col(points).isNotNull() & F.col(other_points).isNotNull()
+
+
 def team_rows(games: DataFrame) -> DataFrame:
     """Each game as two rows, one per team, in a single pass over the games.
 
@@ -26,16 +32,16 @@ def team_rows(games: DataFrame) -> DataFrame:
 
     kept = [c for c in games.columns if c not in
             ("home_team_id", "away_team_id", "home_score", "away_score")]
-    played = F.col("points_for").isNotNull() & F.col("points_against").isNotNull()
+    counts = final_result("points_for", "points_against")
     return (
         games.where("home_team_id is not null and away_team_id is not null")
         .select(*kept, F.explode(F.array(side(True), side(False))).alias("_side"))
         .select(*kept, "_side.*")
         .withColumns(
             {
-                "played": played,
-                "win": played & (F.col("points_for") > F.col("points_against")),
-                "loss": played & (F.col("points_for") < F.col("points_against")),
+                "played": counts,
+                "win": counts & (F.col("points_for") > F.col("points_against")),
+                "loss": counts & (F.col("points_for") < F.col("points_against")),
             }
         )
     )

@@ -14,22 +14,23 @@ def _winter_season(day: str) -> str:
     return f"CASE WHEN month({day}) >= 11 OR month({day}) <= 4 THEN {_season(day)} END"
 
 
-GAMES = f"""
+LINES = """
 lines AS (
-  SELECT l_orderkey, l_suppkey, CAST(l_quantity AS INTEGER) AS score, l_returnflag,
-    row_number() OVER (PARTITION BY l_orderkey
-      ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity, l_extendedprice) AS rn
-  FROM lineitem),
+  SELECT *, CAST(l_quantity AS INTEGER) AS score, l_orderkey * 1048576 + (rn + 1) // 2 AS pair_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity, l_extendedprice) AS rn FROM lineitem) numbered)"""
+
+GAMES = LINES + f""",
 games AS (
-  SELECT o_orderkey AS game_id, {_season('o_orderdate')} AS season_id, o_orderdate AS date,
+  SELECT h.pair_id AS game_id, {_season('o_orderdate')} AS season_id, o_orderdate AS date,
     h.l_suppkey AS home_team_id, a.l_suppkey AS away_team_id, o_custkey AS venue_id,
-    CASE WHEN o_orderstatus <> 'O' THEN h.score END AS home_score,
-    CASE WHEN o_orderstatus <> 'O' THEN a.score END AS away_score,
+    CASE WHEN o_orderstatus = 'F' THEN h.score END AS home_score,
+    CASE WHEN o_orderstatus = 'F' THEN a.score END AS away_score,
     CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'scheduled' ELSE 'in_progress' END AS status,
     h.l_returnflag = 'R' AS neutral_site, o_orderpriority = '1-URGENT' AS conference_game
   FROM orders
-  JOIN lines h ON h.l_orderkey = o_orderkey AND h.rn = 1
-  JOIN lines a ON a.l_orderkey = o_orderkey AND a.rn = 2
+  JOIN lines h ON h.l_orderkey = o_orderkey AND h.rn % 2 = 1
+  JOIN lines a ON a.l_orderkey = o_orderkey AND a.rn = h.rn + 1
   WHERE h.l_suppkey <> a.l_suppkey)"""
 
 TEAM_GAMES = GAMES + """,
@@ -248,27 +249,39 @@ SELECT CAST(game_id AS VARCHAR) AS game_id, CAST(team_id AS VARCHAR) AS team_id,
   pf AS points, pf AS rebounds FROM tg""",
     "request_truncation": """SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS events, count(*) >= 10 AS maybe_truncated
 FROM orders GROUP BY 1""",
-    "stats_pivot": """SELECT l_orderkey AS game_id, l_suppkey AS team_id, CAST(l_quantity AS INTEGER) AS points,
+    "stats_pivot": f"""WITH {LINES}
+SELECT pair_id AS game_id, l_suppkey AS team_id, CAST(l_quantity AS INTEGER) AS points,
   l_linenumber AS field_goals_made, l_linenumber + CAST(l_quantity AS INTEGER) AS field_goals_attempted,
   l_linenumber * 100.0::DOUBLE / (l_linenumber + CAST(l_quantity AS INTEGER)) AS field_goal_pct,
   CAST(l_quantity AS INTEGER) AS rebounds, CAST(round(l_discount * 100) AS INTEGER) AS assists,
-  CAST(round(l_tax * 100) AS INTEGER) AS turnovers FROM lineitem""",
-    "stats_long": f"""WITH s AS (SELECT {_season('l_shipdate')} AS season_id, l_linenumber AS n,
+  CAST(round(l_tax * 100) AS INTEGER) AS turnovers FROM lines""",
+    "stats_long": f"""WITH s AS (SELECT {_season('o_orderdate')} AS season_id, l_linenumber AS n,
     CAST(l_quantity AS INTEGER) AS q, CAST(round(l_discount * 100) AS INTEGER) AS a,
-    CAST(round(l_tax * 100) AS INTEGER) AS t FROM lineitem)
+    CAST(round(l_tax * 100) AS INTEGER) AS t FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey)
 SELECT u.statistic, season_id, count(*) AS entries, CAST(sum(u.value) AS BIGINT) AS total FROM (
   SELECT 'fieldGoalsMade' AS statistic, season_id, n AS value FROM s
   UNION ALL SELECT 'fieldGoalsAttempted', season_id, n + q FROM s
   UNION ALL SELECT 'rebounds', season_id, q FROM s
   UNION ALL SELECT 'assists', season_id, a FROM s
   UNION ALL SELECT 'turnovers', season_id, t FROM s) u GROUP BY 1, 2""",
-    "season_team_stats": f"""WITH s AS (SELECT l_suppkey AS team_id, {_season('l_shipdate')} AS season_id,
+    "season_team_stats": f"""WITH {LINES},
+s AS (SELECT l_suppkey AS team_id, {_season('o_orderdate')} AS season_id, pair_id,
     l_linenumber AS n, CAST(l_quantity AS INTEGER) AS q, CAST(round(l_discount * 100) AS INTEGER) AS a,
-    CAST(round(l_tax * 100) AS INTEGER) AS t FROM lineitem)
-SELECT team_id, season_id, count(*) AS games, CAST(sum(q) AS BIGINT) AS points,
+    CAST(round(l_tax * 100) AS INTEGER) AS t FROM lines LEFT JOIN orders ON o_orderkey = l_orderkey)
+SELECT team_id, season_id, count(DISTINCT pair_id) AS games, CAST(sum(q) AS BIGINT) AS points,
   CAST(sum(n) AS BIGINT) AS field_goals_made, CAST(sum(n + q) AS BIGINT) AS field_goals_attempted,
   CAST(sum(n) AS DOUBLE) * 100 / CAST(sum(n + q) AS DOUBLE) AS field_goal_pct, CAST(sum(q) AS BIGINT) AS rebounds,
   CAST(sum(a) AS BIGINT) AS assists, CAST(sum(t) AS BIGINT) AS turnovers FROM s GROUP BY 1, 2""",
+    "unpaired_lines": f"""WITH {LINES}, mates AS (
+  SELECT h.*, CASE WHEN o.o_orderkey IS NULL THEN 'no order' WHEN m.pair_id IS NULL THEN 'last line'
+    WHEN m.l_suppkey IS NULL OR h.l_suppkey IS NULL OR m.l_suppkey = h.l_suppkey THEN 'same team' END AS reason
+  FROM lines h LEFT JOIN lines m ON m.pair_id = h.pair_id AND m.rn <> h.rn
+  LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders) o ON o.o_orderkey = h.l_orderkey)
+SELECT l_orderkey, l_linenumber, l_suppkey, reason FROM mates WHERE reason IS NOT NULL""",
+    "line_balance": f"""WITH {GAMES}
+SELECT 'all' AS part, count(*) AS lines FROM lineitem
+UNION ALL SELECT 'in games', 2 * count(*) FROM games
+UNION ALL SELECT 'unpaired', (SELECT count(*) FROM lineitem) - 2 * count(*) FROM games""",
     "status_counts": """SELECT CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'scheduled'
   WHEN 'P' THEN 'in_progress' END AS status, count(*) AS games FROM orders GROUP BY 1""",
     "game_dimensions": f"""WITH {GAMES}
@@ -307,7 +320,7 @@ SELECT game_id, team_id, season_id, {_long('gp')} AS prior_games, {_long('w')} A
     **{
         f"form_last{n}": f"""WITH {FORM}
 SELECT game_id, team_id, season_id, g{n} AS last{n}_games, {_long(f'w{n}')} AS last{n}_wins,
-  {_long(f'l{n}')} AS last{n}_losses, {_ratio(f'w{n}', f'g{n}')} AS last{n}_win_pct,
+  {_long(f'l{n}')} AS last{n}_losses, {_ratio(f'w{n}', f'(w{n} + l{n})')} AS last{n}_win_pct,
   {_ratio(f'pf{n}', f'g{n}')} AS last{n}_avg_points_for, {_ratio(f'pa{n}', f'g{n}')} AS last{n}_avg_points_against
 FROM form"""
         for n in (5, 10)
@@ -357,7 +370,7 @@ WHERE home_team_id IN (SELECT s_suppkey FROM asia) OR away_team_id IN (SELECT s_
     "game_statistics": f"""WITH {TEAM_GAMES}
 SELECT game_id, team_id, s_name AS team, opponent_id, is_home, win, CAST(l_quantity AS INTEGER) AS rebounds,
   CAST(round(l_discount * 100) AS INTEGER) AS assists
-FROM lineitem JOIN tg ON game_id = l_orderkey AND team_id = l_suppkey JOIN supplier ON s_suppkey = team_id""",
+FROM lines JOIN tg ON game_id = pair_id AND team_id = l_suppkey JOIN supplier ON s_suppkey = team_id""",
     "refreshed_features": f"""WITH {FORM}
 SELECT game_id, team_id, season_id, {_long('gp')} AS prior_games, {_long('w')} AS prior_wins,
   {_long('w5')} AS last5_wins, {_long('streak')} AS streak, CAST(rest AS INTEGER) AS rest_days FROM form""",
@@ -391,13 +404,14 @@ UNION ALL SELECT 'lineitem', 'l_orderkey references o_orderkey',
 UNION ALL SELECT 'lineitem', 'l_suppkey references s_suppkey',
   (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier))
 UNION ALL SELECT 'orders', 'o_custkey references c_custkey',
-  (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))
+  (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
 UNION ALL SELECT 'labels', 'doc_id references doc_id',
   (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))""",
     "lineage_edges": f"""WITH {TEAM_GAMES} SELECT DISTINCT game_id, team_id, season_id FROM tg""",
     "lineage_impact": f"""WITH {CAPTURES}, {TEAM_GAMES.strip()}
 SELECT DISTINCT team_id, season_id FROM tg
-WHERE strftime(date, '%Y-%m-%d') IN (SELECT cap2.d FROM cap2 JOIN cap1 ON cap1.d = cap2.d WHERE cap1.raw <> cap2.raw)""",
+WHERE strftime(date, '%Y-%m-%d') IN (SELECT cap2.d FROM cap2 LEFT JOIN cap1 ON cap1.d = cap2.d
+  WHERE cap1.raw IS NULL OR cap1.raw <> cap2.raw)""",
     "job_history": """WITH p AS (SELECT o_orderdate, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)
 SELECT 'scoreboard' AS job, count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END) AS successful,
   count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS failed,
@@ -410,10 +424,10 @@ _FEATURES = {
     "prior_win_pct": _ratio("{s}.w", "{s}.gp"),
     "prior_avg_points_for": _ratio("{s}.spf", "{s}.gp"),
     "prior_avg_points_against": _ratio("{s}.spa", "{s}.gp"),
-    "last5_win_pct": _ratio("{s}.w5", "{s}.g5"),
+    "last5_win_pct": _ratio("{s}.w5", "({s}.w5 + {s}.l5)"),
     "last5_avg_points_for": _ratio("{s}.pf5", "{s}.g5"),
     "last5_avg_points_against": _ratio("{s}.pa5", "{s}.g5"),
-    "last10_win_pct": _ratio("{s}.w10", "{s}.g10"),
+    "last10_win_pct": _ratio("{s}.w10", "({s}.w10 + {s}.l10)"),
     "rest_days": "CAST({s}.rest AS INTEGER)",
     "streak": _long("{s}.streak"),
     "margin_trend": "{s}.trend",

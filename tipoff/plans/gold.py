@@ -1,9 +1,9 @@
 """Gold features from silver games. Every feature of a game uses earlier games only.
 
 ``games`` needs ``game_id, season_id, date, home_team_id, away_team_id, home_score,
-away_score, neutral_site, conference_game``. Timelines run per team and season (per
-pair for head-to-head), ordered by day and game id. A game without both scores has
-features but counts for nobody. Ties count for neither side, but their points do.
+away_score, status, neutral_site, conference_game``. Timelines run per team and season (per
+pair for head-to-head), ordered by day and game id. A game that is not final or lacks a score
+has features but counts for nobody. Ties count for neither side, but their points do.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tipoff.functions.values import ratio
-from tipoff.operators.reshape import pair_columns, team_rows
+from tipoff.operators.reshape import final_result, pair_columns, team_rows
 from tipoff.operators.timeline import entering, join_same, look_back, prior_totals
 
 TEAM_SEASON = ["team_id", "season_id"]
@@ -165,9 +165,10 @@ def _recent_form(timeline: DataFrame, spans: tuple[int, ...]) -> DataFrame:
     rows = rows.fillna(0, [f"last{n}_{what}" for n in spans for what in ("games", "wins", "losses")])
     for n in spans:
         count = F.col(f"last{n}_games")
+        decided = F.col(f"last{n}_wins") + F.col(f"last{n}_losses")
         rows = rows.withColumns(
             {
-                f"last{n}_win_pct": ratio(F.col(f"last{n}_wins"), count),
+                f"last{n}_win_pct": ratio(F.col(f"last{n}_wins"), decided),
                 f"last{n}_avg_points_for": ratio(F.col(f"last{n}_points_for"), count),
                 f"last{n}_avg_points_against": ratio(F.col(f"last{n}_points_against"), count),
             }
@@ -206,7 +207,7 @@ def trends(games: DataFrame, n: int = 10) -> DataFrame:
 
 
 def _paired(games: DataFrame) -> DataFrame:
-    played = F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
+    played = final_result("home_score", "away_score")
     home_win = played & (F.col("home_score") > F.col("away_score"))
     away_win = played & (F.col("home_score") < F.col("away_score"))
     low_home = F.col("home_team_id") == F.col("team_low")
@@ -341,7 +342,7 @@ def prediction_features(games: DataFrame) -> DataFrame:
         F.max(F.when(~F.col("is_home"), both)).alias("away"),
     )
     joined = _with_meetings(games).join(sides, "game_id")
-    played = F.col("home_score").isNotNull() & F.col("away_score").isNotNull()
+    played = final_result("home_score", "away_score")
     margin = F.when(played, F.col("home_score") - F.col("away_score"))
     return joined.select(
         "game_id",

@@ -1,8 +1,9 @@
 """The given relational tables, seen as a schedule.
 
 No basketball data is given, so suppliers stand for teams, nations for conferences,
-customers for venues, orders for the schedule and line items for box scores. The first
-two lines of an order are the home and the away side; their quantities are the scores.
+customers for venues, orders for the schedule and line items for box scores. Each two
+consecutive lines of an order are the home and the away side of a game; their quantities are
+the scores. Lines left over are listed by :func:`unpaired_lines`.
 Ids stay whole numbers; every job only compares and orders ids.
 """
 
@@ -24,39 +25,76 @@ def _status(code: Column) -> Column:
     return F.when(code == "F", "final").when(code == "O", "scheduled").otherwise("in_progress")
 
 
-def first_two_lines(lineitem: DataFrame) -> DataFrame:
-    """The first two lines per order; ranked on the map side too, so hot orders stay small."""
+def paired_lines(lineitem: DataFrame) -> DataFrame:
+    """Lines numbered within their order (``rn``), each with its game and its mate's team.
+
+    Lines 1 and 2 of an order are one game, 3 and 4 the next. A last line without a mate has
+    no ``mate``. The numbers of a game's order and pair share one id: up to 2**20 pairs an order.
+    """
     window = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    return lineitem.withColumn("rn", F.row_number().over(window)).where("rn <= 2")
+    team = F.struct("l_suppkey")
+    first = F.col("rn") % 2 == 1
+    return lineitem.withColumn("rn", F.row_number().over(window)).withColumns(
+        {
+            "game_id": F.expr("cast(l_orderkey as bigint) * 1048576 + (rn + 1) div 2"),
+            "mate": F.when(first, F.lead(team).over(window)).otherwise(F.lag(team).over(window)),
+        }
+    )
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Games in silver columns; scheduled games have no scores yet."""
-    lines = first_two_lines(
-        load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
-    )
+def _is_game() -> Column:
+    """Whether a line has a mate of another team."""
+    return F.coalesce(F.col("mate.l_suppkey") != F.col("l_suppkey"), F.lit(False))
+
+
+def _all_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games in silver columns, with the scores of unfinished ones beside them."""
+    lines = paired_lines(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag"))
     # The second line sits beside the first under the same sort: no aggregate needed.
     window = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    side = F.struct("l_suppkey", F.col("l_quantity").cast("int").alias("score"), "l_returnflag")
+    score = F.col("l_quantity").cast("int")
     sides = (
-        lines.select("l_orderkey", "rn", side.alias("home"), F.lead(side).over(window).alias("away"))
-        .where("rn = 1")
-        .where(F.col("home.l_suppkey") != F.col("away.l_suppkey"))
+        lines.withColumn("away_points", F.lead(score).over(window))
+        .where((F.col("rn") % 2 == 1) & _is_game())
+        .withColumn("home_points", score)
     )
     orders = load(spark, sf_dir, "orders")
-    played = F.col("o_orderstatus") != "O"
+    status = _status(F.col("o_orderstatus"))
     return sides.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_orderkey").alias("game_id"),
+        "game_id",
         dates.season_label(dates.rolling_season_year("o_orderdate")).alias("season_id"),
         F.col("o_orderdate").alias("date"),
-        F.col("home.l_suppkey").alias("home_team_id"),
-        F.col("away.l_suppkey").alias("away_team_id"),
+        F.col("l_suppkey").alias("home_team_id"),
+        F.col("mate.l_suppkey").alias("away_team_id"),
         F.col("o_custkey").alias("venue_id"),
-        F.when(played, F.col("home.score")).alias("home_score"),
-        F.when(played, F.col("away.score")).alias("away_score"),
-        _status(F.col("o_orderstatus")).alias("status"),
-        (F.col("home.l_returnflag") == "R").alias("neutral_site"),
+        F.when(status == "final", F.col("home_points")).alias("home_score"),
+        F.when(status == "final", F.col("away_points")).alias("away_score"),
+        status.alias("status"),
+        (F.col("l_returnflag") == "R").alias("neutral_site"),
         (F.col("o_orderpriority") == "1-URGENT").alias("conference_game"),
+        "home_points",
+        "away_points",
+    )
+
+
+def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games in silver columns; only final ones have scores."""
+    return _all_games(spark, sf_dir).drop("home_points", "away_points")
+
+
+def unpaired_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that belong to no game, with the reason: every line is here or in one game."""
+    lines = paired_lines(load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER))
+    known = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(True).alias("_known"))
+    reason = (
+        F.when(F.col("_known").isNull(), "no order")
+        .when(F.col("mate").isNull(), "last line")
+        .when(~_is_game(), "same team")
+    )
+    return (
+        lines.join(known.distinct(), "l_orderkey", "left")
+        .select("l_orderkey", "l_linenumber", "l_suppkey", reason.alias("reason"))
+        .where("reason is not null")
     )
 
 
@@ -115,7 +153,7 @@ def date_payloads(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] |
 
 def game_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games as nested scoreboard documents, one event each, keyed by date and game."""
-    g = games(spark, sf_dir)
+    g = _all_games(spark, sf_dir)
     named = teams(spark, sf_dir).withColumn(
         "color", F.lower(F.lpad(F.hex("team_id"), 6, "0"))
     )
@@ -131,7 +169,8 @@ def game_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(
             text(f"{which}_team_id").alias("id"),
             F.lit(which).alias("homeAway"),
-            F.coalesce(text(f"{which}_score"), F.lit("")).alias("score"),
+            # Before a game the score reads 0, during it the points so far.
+            F.when(F.col("status") == "scheduled", "0").otherwise(text(f"{which}_points")).alias("score"),
             F.struct(
                 text(f"{which}_team_id").alias("id"),
                 F.col(f"{which}_name").alias("displayName"),
@@ -184,7 +223,10 @@ BOX_SCORE_COLUMNS = {
 
 
 def box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One named-statistics array per line item: (game, team, line)."""
+    """One named-statistics array per line item, under its pair's game and the order's season.
+
+    Pairs of one team are no games, but their lines count in its statistics.
+    """
     values = {
         "fieldGoalsMade": F.col("l_linenumber"),
         "fieldGoalsAttempted": F.col("l_linenumber") + F.col("l_quantity").cast("int"),
@@ -195,10 +237,12 @@ def box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = [
         F.struct(F.lit(n).alias("name"), v.cast("string").alias("displayValue")) for n, v in values.items()
     ]
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("game_id"),
+    days = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_discount", "l_tax")
+    return paired_lines(lines).join(days, "l_orderkey", "left").select(
+        "game_id",
         F.col("l_suppkey").alias("team_id"),
-        dates.season_label(dates.rolling_season_year("l_shipdate")).alias("season_id"),
+        dates.season_label(dates.rolling_season_year("o_orderdate")).alias("season_id"),
         F.col("l_quantity").cast("int").alias("points"),
         F.array(*entries).alias("statistics"),
     )

@@ -350,6 +350,27 @@ def season_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def unpaired_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items that are part of no game, with the reason."""
+    return tables.unpaired_lines(spark, sf_dir)
+
+
+@query
+def line_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in all, in games and in none: the last two sum to the first."""
+
+    def counted(rows: DataFrame, part: str, each: int = 1) -> DataFrame:
+        return rows.agg((F.count(F.lit(1)) * each).alias("lines")).withColumn("part", F.lit(part))
+
+    parts = [
+        counted(tables.load(spark, sf_dir, "lineitem"), "all"),
+        counted(tables.games(spark, sf_dir), "in games", 2),
+        counted(tables.unpaired_lines(spark, sf_dir), "unpaired"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized status of every order, counted."""
@@ -518,11 +539,11 @@ def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refreshed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction features stored before a late correction, then refreshed where it reaches.
 
-    The correction moves the in-progress games of the latest day that has any.
+    The correction enters the scores of the final games of the latest day that has any.
     """
     games = _silver_games(spark, sf_dir)
-    last_day = games.where("status = 'in_progress'").agg(F.max("date").alias("date"))
-    corrected = games.where("status = 'in_progress'").join(last_day, "date", "left_semi")
+    last_day = games.where("status = 'final'").agg(F.max("date").alias("date"))
+    corrected = games.where("status = 'final'").join(last_day, "date", "left_semi")
     late = corrected.select("game_id", F.lit(True).alias("_late"))
     before = games.join(late, "game_id", "left").withColumns(
         {s: F.when(F.col("_late").isNull(), F.col(s)) for s in ("home_score", "away_score")}
@@ -550,14 +571,13 @@ def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uniqueness and references between the given tables."""
     load = lambda name: tables.load(spark, sf_dir, name)
     lines = load("lineitem")
-    solvent = load("customer").where("c_acctbal > 0")
     return quality.report(
         [
             quality.unique_rule(lines, "lineitem", ["l_orderkey", "l_linenumber"]),
             quality.unique_rule(load("orders"), "orders", ["o_orderkey"]),
             quality.foreign_key_rule(lines, "lineitem", "l_orderkey", load("orders"), "o_orderkey"),
             quality.foreign_key_rule(lines, "lineitem", "l_suppkey", load("supplier"), "s_suppkey"),
-            quality.foreign_key_rule(load("orders"), "orders", "o_custkey", solvent, "c_custkey"),
+            quality.foreign_key_rule(load("orders"), "orders", "o_custkey", load("customer"), "c_custkey"),
             quality.foreign_key_rule(load("labels"), "labels", "doc_id", load("documents"), "doc_id"),
         ]
     )
@@ -571,9 +591,9 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lineage_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Team-season groups reached by the dates whose content changed."""
+    """Team-season groups reached by the dates whose content is new or changed."""
     first, second = _captures(spark, sf_dir)
-    changed = lineage.changed_keys(second, first).where("change = 'changed'").withColumnRenamed("date", "source_date")
+    changed = lineage.changed_keys(second, first).withColumnRenamed("date", "source_date")
     games = tables.games(spark, sf_dir)
     edges = games.select(F.date_format("date", "yyyy-MM-dd").alias("source_date"), "game_id")
     return lineage.affected_groups(changed, edges, lineage.gold_dependencies(games))
