@@ -191,7 +191,7 @@ def test_scores_are_probabilities_of_each_id_once():
         np.add.at(after, (np.append(language_model.RANKS, r[:-1]), r), 1)
     counts[language_model.END] = len(texts)
     parts = language_model.count_parts(classes, rank, counts.astype(float), after)
-    model = language_model.train(classes, parts, *language_model._training_windows(texts, classes))
+    model = language_model.train(classes, parts, *language_model._training_windows(texts, classes, rank))
 
     def loop(text):
         cls = np.append(classes.begin, classes.of[text])
@@ -203,11 +203,10 @@ def test_scores_are_probabilities_of_each_id_once():
             s = np.array([model.query[x[-1]] @ model.key[k] + model.bias[len(x) - 1 - j] for j, k in enumerate(x)])
             a = np.exp(s - s.max())
             o = (a / a.sum()) @ model.value[x]
-            z = o @ model.out + model.bigram[x[-1]]
+            before = language_model.RANKS if t == 0 else rank[ids[t - 1]]
+            z = o @ model.out + model.prior[before]
             z = z - np.log(np.exp(z).sum())
-            head = z[classes.of] + model.within
-            pair = model.pairs[language_model.RANKS if t == 0 else rank[ids[t - 1]]][rank] + model.rare
-            p = language_model.ATTENTION_SHARE * np.exp(head) + (1 - language_model.ATTENTION_SHARE) * np.exp(pair)
+            p = np.exp(z[classes.of] + model.within[before][rank] + model.rare)
             assert p.sum() == pytest.approx(1, abs=1e-3)
             total += math.log10(p[ids[t]])
         return total
