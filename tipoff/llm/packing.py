@@ -18,9 +18,11 @@ are documents of their own; an empty table gives no pieces; further columns are
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,11 @@ CAPACITY = 2048
 END_ID = 0
 PART_PIECES = 50_000
 ROUNDS = 4
+# Letters without marks of their own in any other form, and signs that never join letters.
+SMALL = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0xFF)]))
+LARGE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
+TAIL = ".,;:!?*%&$#"
+PLAIN = re.compile(f"([{SMALL}{LARGE}]+)([{TAIL}]*)").fullmatch
 CACHE_WORDS = 400_000
 VOCABULARY = "word_bpe_49k.json"
 
@@ -47,10 +54,29 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        # Where the tokenizer's rules only fold letters and part them from what follows, letters
+        # go to its model at once, as bytes.
+        self.model = None
+        rules, whole = self.tokenizer, "".join(x + y for x in SMALL for y in SMALL)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        if rules.normalizer and rules.pre_tokenizer:
+            folds = rules.normalizer.normalize_str(whole + LARGE + TAIL) == whole + LARGE.lower() + TAIL
+            cut = [x[0] for x in rules.pre_tokenizer.pre_tokenize_str(whole + TAIL)]
+            want = [x[0] for x in (*as_bytes.pre_tokenize_str(whole), *rules.pre_tokenizer.pre_tokenize_str(TAIL))]
+            if folds and cut == want:
+                self.model = Tokenizer(rules.model)
+                self.model.pre_tokenizer = as_bytes
+
+    def _add(self, words: Iterable[str], encoder: object) -> None:
+        words = list(words)
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            for word, found in zip(some, encoder.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[word] = array("I", found.ids).tobytes()
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of every text; words that are new to all of them are encoded together."""
@@ -58,13 +84,20 @@ class WordIds:
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
         known = self.known
-        new = list({w for own in words for w in own if w not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = array("I", found.ids).tobytes()
+        new = set(chain.from_iterable(words)).difference(known)
+        if self.model:
+            cut = {w: (m[1].lower(), m[2]) for w in new if (m := PLAIN(w))}
+            stems, tails = ({x[i] for x in cut.values()}.difference(known) for i in (0, 1))
+            tokenize = self.tokenizer.model.tokenize
+            for stem in filter(str.isascii, stems):
+                known[stem] = array("I", [x.id for x in tokenize(stem)]).tobytes()
+            self._add(stems.difference(known), self.model)
+            self._add(tails, self.tokenizer)
+            known.update({w: known[stem] + known[tail] for w, (stem, tail) in cut.items()})
+            new = new.difference(cut)
+        self._add(new, self.tokenizer)
         for own in words:
-            yield b"".join([known[w] for w in own])
+            yield b"".join(map(known.__getitem__, own))
 
 
 _HELD: dict[str, WordIds] = {}
