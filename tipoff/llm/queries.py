@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import decontamination, embeddings, html, jaccard, language_model, lines, packing, passages, toxicity, warc
+from tipoff.llm import decontamination, embeddings, html, jaccard, language_model, lines, packing, passages, subwords, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": passages.op8_substring_dedup,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_sentencepiece": subwords.op11_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {"op5_warc": warc.ORACLE_SQL}
