@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm import decontamination, embeddings, html, jaccard, language_model, lines, manifest, packing, passages, subwords, toxicity, warc
+from tipoff.llm import decontamination, dialogue, embeddings, html, jaccard, language_model, lines, manifest, packing, passages, subwords, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_sentencepiece": subwords.op11_sentencepiece,
     "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_conversation_repair": dialogue.op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {"op5_warc": warc.ORACLE_SQL}
