@@ -29,10 +29,14 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tipoff.session import materialize
 
@@ -67,109 +71,187 @@ def levels(n: Column) -> Column:
     )
 
 
-def positions(nodes: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """``nodes`` with ``pos``: 0, 1, ... within each group in ``order`` (group keys null first).
+def _levels_of(n: int) -> int:
+    """Levels of hashing above ``n`` nodes: 0 for one, else ceil(log_FANOUT n)."""
+    k = 0
+    while FANOUT**k < n:
+        k += 1
+    return k
 
-    One range sort over (group, order); a group spans as many partitions as its rows need. Row
-    numbers come from each partition's count and place; the counts (one per partition) are the
-    only thing the driver sees.
+
+def positions(nodes: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """``nodes`` with ``pos``: 0, 1, ... within each value of ``group`` (null first) in ``order``.
+
+    One range sort over (group, order): a large group spans as many partitions as its rows need.
+    Each task numbers the runs of equal group values in its sorted partition; the first run of a
+    partition may continue one from earlier partitions, whose lengths the driver adds up from one
+    summary row per partition. Nothing is joined on the group itself.
     """
-    keys = [F.col(g).asc_nulls_first() for g in group] + order
-    ranked = materialize(
-        nodes.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    keys = [F.col(group).asc_nulls_first(), *order]
+    ranked = nodes.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    schema = StructType([*nodes.schema.fields, *StructType.fromDDL("_part int, _row long, _first boolean, _local long").fields])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        current, at, row, first = _NOTHING, 0, 0, True
+        for batch in batches:
+            rows, firsts, locals_ = [], [], []
+            for value in batch.column(group).to_pylist():
+                if current is _NOTHING or value != current:
+                    first = current is _NOTHING
+                    current, at = value, 0
+                rows.append(row)
+                firsts.append(first)
+                locals_.append(at)
+                at += 1
+                row += 1
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([part] * n, pa.int32()), pa.array(rows, pa.int64()), pa.array(firsts, pa.bool_()), pa.array(locals_, pa.int64())],
+                schema=pa.schema([*batch.schema, pa.field("_part", pa.int32()), pa.field("_row", pa.int64()), pa.field("_first", pa.bool_()), pa.field("_local", pa.int64())]),
+            )
+
+    numbered = materialize(ranked.mapInArrow(number, schema))
+    summary = (
+        numbered.groupBy("_part")
+        .agg(
+            F.min_by(group, "_row").alias("first_group"),
+            F.sum(F.col("_first").cast("long")).alias("first_run"),
+            F.max_by(group, "_row").alias("last_group"),
+            (F.max_by("_local", "_row") + 1).alias("last_run"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .orderBy("_part")
+        .collect()
     )
-    spark = ranked.sparkSession
-    counts = ranked.groupBy("_part").count().orderBy("_part").collect()
-    starts, total = [], 0
-    for r in counts:
-        starts.append((r["_part"], total))
-        total += r["count"]
-    offsets = spark.createDataFrame(starts or [(0, 0)], "_part int, _start long")
-    numbered = ranked.join(F.broadcast(offsets), "_part").withColumn("_global", F.col("_start") + F.col("_row"))
-    if not group:
-        return numbered.withColumnRenamed("_global", "pos").drop("_part", "_row", "_start")
-    firsts = numbered.groupBy(*group).agg(F.min("_global").alias("_first"))
-    out = _null_safe_join(numbered, firsts, group)
-    return out.withColumn("pos", F.col("_global") - F.col("_first")).drop("_part", "_row", "_start", "_global", "_first")
-
-
-def _block_tree(rows: pd.DataFrame, block_levels: int) -> pd.DataFrame:
-    """Subtree of one aligned block: each leaf's in-block proof, and the block's root."""
-    rows = rows.sort_values("pos", kind="stable")
-    depth = int(min(block_levels, rows["_levels"].iloc[0]))
-    hashes = rows["hash"].tolist()
-    at = [p % FANOUT**block_levels for p in rows["pos"].tolist()]
-    base = at[0]
-    proofs = [[] for _ in hashes]
-    level, index = hashes, [a - base for a in at]
+    carries, run, last = [], 0, _NOTHING
+    for r in summary:
+        carry = run if last is not _NOTHING and r["first_group"] == last else 0
+        carries.append((r["_part"], carry))
+        run = carry + r["n"] if r["first_run"] == r["n"] else r["last_run"]
+        last = r["last_group"]
+    spark = numbered.sparkSession
+    offsets = spark.createDataFrame(carries or [(0, 0)], "_part int, _carry long")
+    placed = numbered.join(F.broadcast(offsets), "_part")
+    pos = F.col("_local") + F.when(F.col("_first"), F.col("_carry")).otherwise(F.lit(0))
+    return placed.withColumn("pos", pos).drop("_part", "_row", "_first", "_local", "_carry")
+
+
+_NOTHING = object()
+
+
+def _block_depth(block: int, count: int, block_levels: int) -> int:
+    """Levels hashed inside a block: a group of one block is hashed down to one node."""
+    return _levels_of(count) if block == 0 and count <= FANOUT**block_levels else block_levels
+
+
+def _levels(hashes: list[str], depth: int) -> list[list[str]]:
+    out = [hashes]
     for _ in range(depth):
+        level = out[-1]
+        out.append([_h("".join(level[j : j + FANOUT])) for j in range(0, len(level), FANOUT)])
+    return out
+
+
+def _block_roots(block_levels: int, group: str):
+    def run(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos", kind="stable")
+        depth = _block_depth(int(keys[1]), len(rows), block_levels)
+        root = _levels(rows["hash"].tolist(), depth)[-1][0]
+        return pd.DataFrame({group: [keys[0]], "block": [int(keys[1])], "hash": [root]})
+
+    return run
+
+
+def _block_proofs(block_levels: int, group: str, key: str | None):
+    """Every node's proof inside its block followed by the block's upper proof, and digests."""
+
+    def run(keys: tuple, rows: pd.DataFrame, upper: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos", kind="stable")
+        hashes = rows["hash"].tolist()
+        depth = _block_depth(int(keys[1]), len(rows), block_levels)
+        levels = _levels(hashes, depth)
+        above = list(upper["upper"].iloc[0]) if len(upper) else []
+        steps = [(s["left"], s["right"]) for s in above]
+        subroot, root = upper["subroot"].iloc[0], upper["root"].iloc[0]
+        index = [p % FANOUT**block_levels for p in rows["pos"].tolist()]
+        checks = rows["check"].tolist() if "check" in rows else hashes
+        out = []
         for k, i in enumerate(index):
-            run = i // FANOUT * FANOUT
-            proofs[k].append({"left": "".join(level[run:i]), "right": "".join(level[i + 1 : run + FANOUT])})
-        level = [_h("".join(level[j : j + FANOUT])) for j in range(0, len(level), FANOUT)]
-        index = [i // FANOUT for i in index]
-    return pd.DataFrame({"pos": rows["pos"].to_numpy(), "proof": proofs, "block_root": [level[0]] * len(hashes)})
-
-
-def build(nodes: DataFrame, group: list[str], block_levels: int = BLOCK_LEVELS) -> DataFrame:
-    """Proof (up to each group's root) and root of every node of ``nodes`` (group..., pos, hash)."""
-    block_size = FANOUT**block_levels
-    # One row per group: its node count and levels.
-    sizes = nodes.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_levels", levels(F.col("_n"))).drop("_n")
-    sized = _null_safe_join(nodes, sizes, group)
-    sized = sized.withColumn("block", F.floor(F.col("pos") / block_size).cast("long"))
-    out_schema = f"{', '.join(f'{g} string' for g in group)}, pos long, proof {PROOF}, block_root string"
-
-    def tree(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = _block_tree(rows, block_levels)
-        for i, (g, value) in enumerate(zip(group, keys)):
-            out.insert(i, g, value)
-        return out
-
-    trees = sized.select(*group, "block", "pos", "hash", "_levels").groupBy(*group, "block").applyInPandas(tree, out_schema)
-    inner = materialize(_null_safe_join(sized.select(*group, "pos", "block", "_levels"), trees, [*group, "pos"]))
-    blocks = materialize(
-        inner.groupBy(*group, "block")
-        .agg(F.first("block_root").alias("hash"), F.first("_levels").alias("_levels"))
-        .withColumn("upper", F.array().cast(PROOF))
+            path = []
+            for level in levels[:-1]:
+                run_at = i // FANOUT * FANOUT
+                path.append(("".join(level[run_at:i]), "".join(level[i + 1 : run_at + FANOUT])))
+                i //= FANOUT
+            path += steps
+            node = checks[k] if checks[k] is not None else hashes[k]
+            for left, right in path:
+                node = _h(left + node + right)
+            digest = hashlib.sha256("".join(left + right for left, right in path).encode()).hexdigest()
+            out.append((path, digest, node))
+        result = pd.DataFrame({group: [keys[0]] * len(out), "pos": rows["pos"].to_numpy()})
+        if key:
+            result[key] = rows[key].to_numpy()
+        result["hash"] = hashes
+        result["subroot"] = subroot
+        result["root"] = root
+        result["proof"] = [[{"left": a, "right": b} for a, b in o[0]] for o in out]
+        result["proof_sha256"] = [o[1] for o in out]
+        result["folded_root"] = [o[2] for o in out]
+        return result
+
+    return run
+
+
+def tree(placed: DataFrame, group: str, block_levels: int = BLOCK_LEVELS) -> DataFrame:
+    """One row per block of ``placed`` (group, pos, hash): its group's root and the block's upper proof.
+
+    Blocks hash their own subtrees (pass one, one row out per block); then the blocks exchange
+    subtree roots round by round until each knows the siblings above it and its group's root.
+    """
+    block = F.floor(F.col("pos") / FANOUT**block_levels).cast("long")
+    kind = placed.schema[group].dataType.simpleString()
+    roots = (
+        placed.select(group, block.alias("block"), "pos", "hash")
+        .groupBy(group, "block")
+        .applyInPandas(_block_roots(block_levels, group), f"{group} {kind}, block long, hash string")
     )
-    rounds = max([r[0] or 0 for r in sizes.agg(F.max("_levels")).collect()] + [0]) - block_levels
+    blocks = materialize(roots)
+    per_group = blocks.groupBy(group).agg(F.count(F.lit(1)).alias("_blocks")).withColumn("_rounds", levels(F.col("_blocks")))
+    blocks = materialize(_null_safe_join(blocks, per_group.drop("_blocks"), [group]).withColumn("upper", F.array().cast(PROOF)))
+    rounds = max([r[0] or 0 for r in per_group.agg(F.max("_rounds")).collect()] + [0])
     for r in range(1, rounds + 1):
-        blocks = materialize(_swap(blocks, group, r, block_levels))
-    done = _null_safe_join(inner, blocks.select(*group, "block", F.col("hash").alias("root"), "upper"), [*group, "block"])
-    return done.select(*group, "pos", F.concat("proof", "upper").alias("proof"), "root")
+        blocks = materialize(_swap(blocks, group, r))
+    return blocks.select(group, "block", F.col("hash").alias("subroot"), "upper")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return left.join(right, [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]).drop(*[f"_r_{k}" for k in keys])
+    return left.join(right, [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys], how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _swap(blocks: DataFrame, group: list[str], r: int, block_levels: int) -> DataFrame:
+def _swap(blocks: DataFrame, group: str, r: int) -> DataFrame:
     """One round: aligned runs of FANOUT subtree roots are exchanged, each block hashes its parent."""
     span = FANOUT ** (r - 1)
-    active = F.col("_levels") >= block_levels + r
+    active = F.col("_rounds") >= r
     node = F.floor(F.col("block") / span).cast("long")
-    senders = blocks.where(active & (F.col("block") % span == 0)).select(*group, node.alias("node"), "hash")
-    runs = senders.groupBy(*group, F.floor(F.col("node") / FANOUT).cast("long").alias("run")).agg(
+    senders = blocks.where(active & (F.col("block") % span == 0)).select(group, node.alias("node"), "hash")
+    runs = senders.groupBy(group, F.floor(F.col("node") / FANOUT).cast("long").alias("run")).agg(
         F.array_sort(F.collect_list(F.struct("node", "hash"))).alias("members")
     )
     mine = blocks.withColumn("_node", node).withColumn("_run", F.floor(F.col("_node") / FANOUT).cast("long"))
-    runs = runs.withColumnsRenamed({g: f"_r_{g}" for g in group})
-    on = [mine[g].eqNullSafe(runs[f"_r_{g}"]) for g in group] + [mine["_run"] == runs["run"], active]
+    runs = runs.withColumnRenamed(group, f"_r_{group}")
+    on = [mine[group].eqNullSafe(runs[f"_r_{group}"]), mine["_run"] == runs["run"], active]
     joined = mine.join(runs, on, "left")
     before = F.array_join(F.transform(F.filter("members", lambda m: m["node"] < F.col("_node")), lambda m: m["hash"]), "")
     after = F.array_join(F.transform(F.filter("members", lambda m: m["node"] > F.col("_node")), lambda m: m["hash"]), "")
     every = F.array_join(F.transform("members", lambda m: m["hash"]), "")
     step = F.array(F.struct(before.alias("left"), after.alias("right")))
     return joined.select(
-        *group,
+        group,
         "block",
         F.when(active, F.sha2(every, 256)).otherwise(F.col("hash")).alias("hash"),
-        "_levels",
+        "_rounds",
         F.when(active, F.concat("upper", step)).otherwise(F.col("upper")).alias("upper"),
     )
 
@@ -180,30 +262,40 @@ def fold(start: Column, proof: Column) -> Column:
 
 
 def manifest(
-    docs: DataFrame, group: str = "source", key: str = "doc_id", keep: tuple[str, ...] = (), block_levels: int = BLOCK_LEVELS
+    docs: DataFrame, group: str = "source", key: str = "doc_id", check: Column | None = None, block_levels: int = BLOCK_LEVELS
 ) -> DataFrame:
-    """Leaf, group root (``subroot``), root and proof of every row of ``docs`` (columns ``FIELDS``).
+    """Leaf, group root (``subroot``), root, proof digest and folded root of every row of ``docs``.
 
-    Texts are read once, for the leaves; only key, group, leaf and the columns in ``keep`` go on.
+    ``check`` is a second leaf per row (null: the leaf itself), folded through the row's proof
+    into ``folded_root``. Texts are read once, for the leaves; key, group and the two leaves go
+    on. Proofs stay inside the task of their block: only their digests leave it.
     """
-    rows = docs.select(key, group, leaf(*[F.col(c) for c in FIELDS]).alias("leaf"), *keep)
-    placed = positions(rows, [group], [F.col(key).asc_nulls_first(), F.col("leaf")])
-    lower = build(placed.select(group, "pos", F.col("leaf").alias("hash")), [group], block_levels)
-    lower = materialize(_null_safe_join(placed, lower, [group, "pos"]))
-    subroots = lower.groupBy(group).agg(F.first("root").alias("hash"))
-    tops = positions(subroots, [], [F.col(group).asc_nulls_first()])
-    top = build(tops.select(F.lit("").alias("_tree"), "pos", "hash"), ["_tree"], block_levels)
-    top = _null_safe_join(tops.select(group, "pos"), top, ["pos"]).select(group, F.col("proof").alias("top"), F.col("root").alias("manifest_root"))
-    done = _null_safe_join(lower, top, [group])
-    return done.select(
-        key,
-        group,
-        *keep,
-        "leaf",
-        F.col("root").alias("subroot"),
-        F.col("manifest_root").alias("root"),
-        F.concat("proof", "top").alias("proof"),
+    rows = docs.select(key, group, leaf(*[F.col(c) for c in FIELDS]).alias("hash"), (check if check is not None else F.lit(None).cast("string")).alias("check"))
+    placed = materialize(positions(rows, group, [F.col(key).asc_nulls_first(), F.col("hash")]))
+    blocks = tree(placed, group, block_levels)
+    # The tree over the groups' roots: one node per group, in one group of its own.
+    subroots = blocks.groupBy(group).agg(F.first("subroot").alias("hash")).withColumn("_tree", F.lit(""))
+    top_nodes = materialize(positions(subroots, "_tree", [F.col(group).asc_nulls_first()]))
+    top_blocks = tree(top_nodes.select("_tree", "pos", "hash"), "_tree", block_levels)
+    top_blocks = top_blocks.withColumn("root", F.col("subroot"))
+    top = (
+        _cogroup(top_nodes.select("_tree", "pos", "hash", group), top_blocks, "_tree", group, block_levels)
+        .select(group, F.col("proof").alias("top"), "root")
     )
+    full = _null_safe_join(blocks, top, [group]).select(group, "block", "subroot", "root", F.concat("upper", "top").alias("upper"))
+    done = _cogroup(placed, full, group, key, block_levels)
+    return done.select(key, group, F.col("hash").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root")
+
+
+def _cogroup(placed: DataFrame, blocks: DataFrame, group: str, key: str, block_levels: int) -> DataFrame:
+    """Nodes of each block beside the block's upper proof, group root and root."""
+    kind = placed.schema[group].dataType.simpleString()
+    key_kind = placed.schema[key].dataType.simpleString()
+    schema = f"{group} {kind}, pos long, {key} {key_kind}, hash string, subroot string, root string, proof {PROOF}, proof_sha256 string, folded_root string"
+    block = F.floor(F.col("pos") / FANOUT**block_levels).cast("long")
+    cols = [group, block.alias("block"), "pos", key, "hash"] + (["check"] if "check" in placed.columns else [])
+    nodes = placed.select(*cols)
+    return nodes.groupBy(group, "block").cogroup(blocks.groupBy(group, "block")).applyInPandas(_block_proofs(block_levels, group, key), schema)
 
 
 def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
@@ -219,13 +311,7 @@ def checked(docs: DataFrame, block_levels: int = BLOCK_LEVELS) -> DataFrame:
     """
     tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     changed = leaf(*[F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in FIELDS])
-    built = manifest(docs.withColumn("tampered_leaf", F.when(tampered, changed)), keep=("tampered_leaf",), block_levels=block_levels)
-    start = F.coalesce(F.col("tampered_leaf"), F.col("leaf"))
-    return built.select(
-        "doc_id",
-        "leaf",
-        "subroot",
-        "root",
-        F.sha2(F.array_join(F.transform("proof", lambda x: F.concat(x["left"], x["right"])), ""), 256).alias("proof_sha256"),
-        fold(start, F.col("proof")).alias("folded_root"),
-    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+    built = manifest(docs, check=F.when(tampered, changed), block_levels=block_levels)
+    return built.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root").withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
