@@ -238,6 +238,12 @@ SELECT CAST(game_id AS VARCHAR) AS game_id, season_id, CAST(2 AS INTEGER) AS sea
   CAST(home_team_id AS VARCHAR) AS home_team_id, CAST(away_team_id AS VARCHAR) AS away_team_id,
   CAST(venue_id AS VARCHAR) AS venue_id, home_score, away_score, status, neutral_site, conference_game
 FROM games""",
+    "silver_incremental": f"""WITH {GAMES}
+SELECT CAST(game_id AS VARCHAR) AS game_id, season_id, CAST(2 AS INTEGER) AS season_type,
+  CAST(CASE WHEN status = 'scheduled' THEN date + INTERVAL 1 DAY ELSE date END AS DATE) AS date,
+  CAST(home_team_id AS VARCHAR) AS home_team_id, CAST(away_team_id AS VARCHAR) AS away_team_id,
+  CAST(venue_id AS VARCHAR) AS venue_id, home_score, away_score, status, neutral_site, conference_game
+FROM games WHERE status <> 'in_progress'""",
     "payload_to_teams": f"""WITH {TEAM_GAMES}
 SELECT DISTINCT CAST(team_id AS VARCHAR) AS team_id, s_name AS name, '#' || printf('%06X', team_id) AS color
 FROM tg JOIN supplier ON s_suppkey = team_id""",

@@ -151,9 +151,18 @@ def date_payloads(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] |
     )
 
 
-def game_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Games as nested scoreboard documents, one event each, keyed by date and game."""
+def game_payloads(
+    spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None = None, shift_days: int = 0
+) -> DataFrame:
+    """Games as nested scoreboard documents, one event each, keyed by date and game.
+
+    ``statuses`` keeps games of those silver statuses only; ``shift_days`` reschedules them:
+    key and event date move, the season stays the one of the original date.
+    """
     g = _all_games(spark, sf_dir)
+    if statuses:
+        g = g.where(F.col("status").isin(*statuses))
+    g = g.withColumn("season_of", F.col("date")).withColumn("date", F.date_add("date", shift_days).cast(g.schema["date"].dataType))
     named = teams(spark, sf_dir).withColumn(
         "color", F.lower(F.lpad(F.hex("team_id"), 6, "0"))
     )
@@ -199,7 +208,7 @@ def game_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.struct(
         text("game_id").alias("id"),
         F.date_format("date", "yyyy-MM-dd'T'HH:mm'Z'").alias("date"),
-        F.struct(dates.rolling_season_year("date").alias("year"), F.lit(2).alias("type")).alias("season"),
+        F.struct(dates.rolling_season_year("season_of").alias("year"), F.lit(2).alias("type")).alias("season"),
         F.array(competition).alias("competitions"),
     )
     raw = F.to_json(F.struct(F.array(event).alias("events")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tipoff.functions import dates, values
 from tipoff.operators import latest, upsert
-from tipoff.plans import calendar, gold, lineage, migrate, models, quality, silver
+from tipoff.plans import calendar, gold, incremental, lineage, migrate, models, quality, silver
 from tipoff.session import configure, materialize, shared_dir
 from tipoff.sources import bronze, landing, tables
 from tipoff.streaming.ingest import drain, stream_to_bronze
@@ -295,6 +295,37 @@ def payload_to_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.usable_games(records).withColumn("date", F.to_date("date"))
 
 
+# Capture times of the change sets of the incremental silver: the re-capture is older than the second.
+RECAPTURE = datetime(2024, 1, 15, tzinfo=UTC)
+NO_EVENTS = '{"events":[]}'
+
+
+def _change_sets(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """A first capture of every game; a later one that moves scheduled games a day on and withdraws
+    games in progress (an empty payload under their key); an older re-capture of both, last."""
+
+    def at(df: DataFrame, when: datetime) -> DataFrame:
+        return df.withColumn("created_at", F.lit(when).cast("timestamp"))
+
+    first = at(tables.game_payloads(spark, sf_dir), FIRST_CAPTURE)
+    moved = tables.game_payloads(spark, sf_dir, ("scheduled",), shift_days=1)
+    withdrawn = tables.game_payloads(spark, sf_dir, ("in_progress",)).withColumns(
+        {"raw_data": F.lit(NO_EVENTS), "content_hash": F.sha2(F.lit(NO_EVENTS), 256)}
+    )
+    second = at(moved.unionByName(withdrawn), SECOND_CAPTURE)
+    again = at(tables.game_payloads(spark, sf_dir, ("scheduled", "in_progress")), RECAPTURE)
+    return [first, second, again]
+
+
+@query
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable games of the stored silver table after three change sets were merged into it."""
+    root = shared_dir(spark)
+    for batch in _change_sets(spark, sf_dir):
+        incremental.merge(spark, root, batch)
+    return silver.usable_games(incremental.live_games(spark, root)).withColumn("date", F.to_date("date"))
+
+
 @query
 def payload_to_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams named in the payloads, newest naming per team."""
