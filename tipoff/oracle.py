@@ -481,3 +481,9 @@ SELECT '{c}' AS feature, count({c}) AS "values", count(*) - count({c}) AS nulls,
   CAST(max({c}) AS DOUBLE) AS maximum, round(avg({c}), 6) AS mean FROM record"""
     for c in ("games_played", "wins", "losses", "win_pct")
 )
+
+# Gold kept by the stream: games in progress were withdrawn, scheduled ones keep their season.
+LIVE_TEAM_GAMES = (
+    GAMES + ",\nlive AS (SELECT * FROM games WHERE status <> 'in_progress')" + TEAM_GAMES[len(GAMES) :].replace("FROM games", "FROM live")
+)
+ORACLE["stream_to_gold"] = ORACLE["season_record"].replace(TEAM_GAMES, LIVE_TEAM_GAMES, 1)

@@ -17,6 +17,7 @@ from tipoff.operators import latest, upsert
 from tipoff.plans import calendar, gold, incremental, lineage, migrate, models, quality, silver
 from tipoff.session import configure, materialize, shared_dir
 from tipoff.sources import bronze, landing, tables
+from tipoff.streaming import layers
 from tipoff.streaming.ingest import drain, stream_to_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,6 +299,7 @@ def payload_to_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Capture times of the change sets of the incremental silver: the re-capture is older than the second.
 RECAPTURE = datetime(2024, 1, 15, tzinfo=UTC)
 NO_EVENTS = '{"events":[]}'
+LANDED = "date string, source_url string, raw_data string, content_hash string, created_at timestamp"
 
 
 def _change_sets(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -326,6 +328,17 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.usable_games(incremental.live_games(spark, root)).withColumn("date", F.to_date("date"))
 
 
+@query
+def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season records kept by a stream that takes each landed change set through silver into gold."""
+    root = shared_dir(spark)
+    for batch in _change_sets(spark, sf_dir):
+        batch.select(*[c.split()[0] for c in LANDED.split(", ")]).write.mode("append").parquet(f"{root}/landing")
+        records = spark.readStream.schema(LANDED).parquet(f"{root}/landing")
+        drain(layers.stream_to_gold(spark, records, root, f"{root}/_checkpoint"))
+    return layers.read_gold(spark, root).withColumn("team_id", F.col("team_id").cast("long"))
+
+
 @query
 def payload_to_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams named in the payloads, newest naming per team."""
