@@ -487,3 +487,13 @@ LIVE_TEAM_GAMES = (
     GAMES + ",\nlive AS (SELECT * FROM games WHERE status <> 'in_progress')" + TEAM_GAMES[len(GAMES) :].replace("FROM games", "FROM live")
 )
 ORACLE["stream_to_gold"] = ORACLE["season_record"].replace(TEAM_GAMES, LIVE_TEAM_GAMES, 1)
+
+ORACLE["lineage_models"] = f"""WITH {CAPTURES}, {TEAM_GAMES.strip()},
+changed AS (SELECT cap2.d FROM cap2 LEFT JOIN cap1 ON cap1.d = cap2.d WHERE cap1.raw IS NULL OR cap1.raw <> cap2.raw),
+hit AS (SELECT DISTINCT game_id, team_id, season_id FROM tg WHERE strftime(date, '%Y-%m-%d') IN (SELECT d FROM changed)),
+edges AS (SELECT DISTINCT 'all' AS model_id, season_id FROM tg
+  UNION SELECT DISTINCT 'season-' || season_id, season_id FROM tg),
+per_season AS (SELECT season_id, count(DISTINCT game_id) AS g, count(DISTINCT team_id) AS t FROM hit GROUP BY 1)
+SELECT e.model_id, count(DISTINCT e.season_id) AS seasons, CAST(coalesce(sum(p.g), 0) AS BIGINT) AS changed_games,
+  CAST(coalesce(sum(p.t), 0) AS BIGINT) AS changed_groups, coalesce(sum(p.g), 0) > 0 AS stale
+FROM edges e LEFT JOIN per_season p ON p.season_id = e.season_id GROUP BY 1"""

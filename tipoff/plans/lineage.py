@@ -47,6 +47,51 @@ def affected_groups(changed: DataFrame, silver_edges: DataFrame, gold_edges: Dat
     return gold_edges.join(games.distinct(), "game_id", "left_semi").select("team_id", "season_id").distinct()
 
 
+EDGES = ("source_game", "game_group", "group_model")
+
+
+def store_edges(root: str, source_game: DataFrame, game_group: DataFrame, group_model: DataFrame) -> None:
+    """Write the three edge tables: source date to game, game to (team, season), season to model."""
+    for name, edges in zip(EDGES, (source_game, game_group, group_model)):
+        edges.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{name}")
+
+
+def stale_models(spark, root: str, changed: DataFrame, registry: DataFrame) -> DataFrame:
+    """Every model of ``registry`` (model_id, trained_at) with what changed sources reach in it.
+
+    ``changed`` holds (source_date, changed_at). Changes travel source -> game -> (team, season)
+    -> model over the stored edges. Games and groups are counted per season before the season
+    meets the models, so a large season is reduced by map-side aggregation and only one row per
+    season joins. A game and its groups belong to one season: per-season counts add up per model.
+    A model is stale when a change that reaches it is newer than its training.
+    """
+    source_game, game_group, group_model = (spark.read.parquet(f"{root}/{n}") for n in EDGES)
+    games = source_game.join(changed, "source_date").groupBy("game_id").agg(F.max("changed_at").alias("changed_at"))
+    groups = game_group.join(games, "game_id")
+    seasons = groups.groupBy("season_id").agg(
+        F.count_distinct("game_id").alias("changed_games"),
+        F.count_distinct("team_id").alias("changed_groups"),
+        F.max("changed_at").alias("changed_at"),
+    )
+    reached = group_model.join(seasons, "season_id").groupBy("model_id").agg(
+        F.sum("changed_games").alias("changed_games"),
+        F.sum("changed_groups").alias("changed_groups"),
+        F.max("changed_at").alias("last_change"),
+    )
+    trained_on = group_model.groupBy("model_id").agg(F.count_distinct("season_id").alias("seasons"))
+    return (
+        registry.join(trained_on, "model_id", "left")
+        .join(reached, "model_id", "left")
+        .select(
+            "model_id",
+            F.coalesce("seasons", F.lit(0)).cast("long").alias("seasons"),
+            F.coalesce("changed_games", F.lit(0)).cast("long").alias("changed_games"),
+            F.coalesce("changed_groups", F.lit(0)).cast("long").alias("changed_groups"),
+            F.coalesce(F.col("last_change") > F.col("trained_at"), F.lit(False)).alias("stale"),
+        )
+    )
+
+
 def changed_keys(current: DataFrame, processed: DataFrame, key: str = "date") -> DataFrame:
     """Keys whose (key, hash) was not processed yet, marked ``new`` or ``changed``."""
     fresh = current.select(key, "content_hash").join(

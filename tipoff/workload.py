@@ -643,6 +643,32 @@ def lineage_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.affected_groups(changed, edges, lineage.gold_dependencies(games))
 
 
+# Models of the lineage graph are trained between the two captures.
+TRAINED_AT = datetime(2024, 1, 2, tzinfo=UTC)
+
+
+@query
+def lineage_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models that changed dates reach over stored edges, and whether each is now stale.
+
+    One model per season and one over all seasons, each trained on the season records of its
+    seasons after the first capture; the second capture's new or changed dates change them.
+    """
+    root = shared_dir(spark)
+    first, second = _captures(spark, sf_dir)
+    games = tables.games(spark, sf_dir)
+    features = gold.season_record(games)
+    seasons = lineage.model_dependencies(features, "all")
+    group_model = seasons.unionByName(seasons.withColumn("model_id", F.concat(F.lit("season-"), "season_id")))
+    source_game = games.select(F.date_format("date", "yyyy-MM-dd").alias("source_date"), "game_id")
+    lineage.store_edges(root, source_game, lineage.gold_dependencies(games), group_model)
+    registry = group_model.select("model_id").distinct().withColumn("trained_at", F.lit(TRAINED_AT).cast("timestamp"))
+    changed = lineage.changed_keys(second, first).select(
+        F.col("date").alias("source_date"), F.lit(SECOND_CAPTURE).cast("timestamp").alias("changed_at")
+    )
+    return lineage.stale_models(spark, root, changed, registry)
+
+
 @query
 def job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One history row for a merge in which documents arrive as dated records and some are rejected."""
