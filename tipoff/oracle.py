@@ -497,3 +497,13 @@ per_season AS (SELECT season_id, count(DISTINCT game_id) AS g, count(DISTINCT te
 SELECT e.model_id, count(DISTINCT e.season_id) AS seasons, CAST(coalesce(sum(p.g), 0) AS BIGINT) AS changed_games,
   CAST(coalesce(sum(p.t), 0) AS BIGINT) AS changed_groups, coalesce(sum(p.g), 0) > 0 AS stale
 FROM edges e LEFT JOIN per_season p ON p.season_id = e.season_id GROUP BY 1"""
+
+ORACLE["model_auc"] = f"""WITH {TEAM_GAMES}, rec AS (
+  SELECT team_id, season_id, count(CASE WHEN win THEN 1 END) AS wins FROM tg GROUP BY 1, 2),
+s AS (SELECT CAST(h.wins - a.wins AS DOUBLE) AS score, CASE WHEN g.home_score > g.away_score THEN 1 ELSE 0 END AS label
+  FROM games g JOIN rec h ON h.team_id = g.home_team_id AND h.season_id = g.season_id
+  JOIN rec a ON a.team_id = g.away_team_id AND a.season_id = g.season_id WHERE g.status = 'final'),
+per AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM s GROUP BY score),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM per)
+SELECT sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc, CAST(sum(pos) AS BIGINT) AS positives,
+  CAST(sum(neg) AS BIGINT) AS negatives, CAST(0 AS BIGINT) AS skipped FROM c"""

@@ -14,10 +14,12 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tipoff.functions.dates import parse_date
 from tipoff.functions.values import ratio
 from tipoff.plans.gold import FEATURES
+from tipoff.session import materialize as _materialize
 
 INPUTS = tuple(f"diff_{f}" for f in FEATURES) + ("h2h_meetings", "h2h_home_wins", "h2h_away_wins")
 CLASSIFIERS = {"logistic": LogisticRegression, "forest": RandomForestClassifier, "boosted": GBTClassifier}
@@ -95,6 +97,47 @@ def classification_metrics(predictions: DataFrame, label: str = "home_win", pred
     )
 
 
+def exact_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Area under the ROC curve by rank sums, ties at their mid-rank; one row, no sampling.
+
+    Rows are counted per distinct score (positives: label 1, negatives: label 0; rows with a null
+    score or label are left out and counted in ``skipped``). Distinct scores are range-partitioned;
+    negatives below each score are a running sum inside each partition plus the negatives of all
+    earlier partitions, whose per-partition totals are the only rows the driver reads. Each
+    positive then counts the negatives below it and half of those at its score. With no positive
+    or no negative the area is null.
+    """
+    known = F.col(score).isNotNull() & F.col(label).isNotNull()
+    counts = scored.groupBy(F.when(known, F.col(score).cast("double")).alias("score")).agg(
+        F.count_if(known & (F.col(label) == 1)).alias("pos"),
+        F.count_if(known & (F.col(label) == 0)).alias("neg"),
+        F.count_if(~known).alias("skipped"),
+    )
+    skipped = counts.agg(F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"))
+    per_score = counts.where(F.col("score").isNotNull()).drop("skipped")
+    spark = scored.sparkSession
+    ranked = _materialize(
+        per_score.repartitionByRange("score").sortWithinPartitions("score").withColumn("_part", F.spark_partition_id())
+    )
+    carry, offsets = 0, []
+    for r in ranked.groupBy("_part").agg(F.sum("neg").alias("neg")).orderBy("_part").collect():
+        offsets.append((r["_part"], carry))
+        carry += r["neg"]
+    starts = spark.createDataFrame(offsets or [(0, 0)], "_part int, _carry long")
+    earlier = Window.partitionBy("_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(earlier), F.lit(0)) + F.col("_carry")
+    placed = ranked.join(F.broadcast(starts), "_part").withColumn("below", below)
+    totals = placed.agg(
+        F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)).alias("wins"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"),
+    )
+    area = F.when((F.col("positives") > 0) & (F.col("negatives") > 0), F.col("wins") / (F.col("positives") * F.col("negatives")))
+    # Two one-row aggregates side by side, joined on a constant.
+    one = F.lit(1).alias("_one")
+    return totals.select("*", one).join(skipped.select("*", one), "_one").select(area.alias("auc"), "positives", "negatives", "skipped")
+
+
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "home_win", model_id: str = "model") -> DataFrame:
     """One metrics row for a model on a test set."""
     scored = model.transform(model_input(labelled(test, label)))

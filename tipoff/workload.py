@@ -579,6 +579,21 @@ def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.classification_metrics(features.withColumn("prediction", pick))
 
 
+@query
+def model_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact AUC of a fixed score of final games: home team's season wins less the away team's."""
+    games = _silver_games(spark, sf_dir)
+    wins = gold.season_record(games).select("team_id", "season_id", "wins")
+    home = wins.select(F.col("team_id").alias("home_team_id"), "season_id", F.col("wins").alias("home_wins"))
+    away = wins.select(F.col("team_id").alias("away_team_id"), "season_id", F.col("wins").alias("away_wins"))
+    final = games.where(F.col("status") == "final").join(home, ["home_team_id", "season_id"]).join(away, ["away_team_id", "season_id"])
+    scored = final.select(
+        (F.col("home_wins") - F.col("away_wins")).cast("double").alias("score"),
+        F.when(F.col("home_score") > F.col("away_score"), 1).otherwise(0).alias("label"),
+    )
+    return models.exact_auc(scored)
+
+
 @query
 def refreshed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction features stored before a late correction, then refreshed where it reaches.
