@@ -254,3 +254,16 @@ def test_several_rows_of_a_game_are_one_game(spark):
     stats = stats.withColumns({c: F.lit(None).cast("int") for c in missing})
     row = silver.season_team_stats(stats).first()
     assert (row.games, row.rebounds) == (2, 15)
+
+
+def test_team_by_id_reaches_the_scan(spark, tmp_path):
+    from tipoff.plans import silver as plans
+
+    teams = spark.createDataFrame([("1", "A", "#1"), ("2", "B", "#2"), (None, "C", None)], "team_id string, name string, color string")
+    teams.write.parquet(str(tmp_path / "teams"))
+    stored = spark.read.parquet(str(tmp_path / "teams"))
+    one = plans.team_by_id(stored, 2)
+    assert [r.name for r in one.collect()] == ["B"]
+    assert "PushedFilters: [IsNotNull(team_id), EqualTo(team_id,2)]" in one._jdf.queryExecution().executedPlan().toString()
+    ids = spark.createDataFrame([(1,), (1,), (9,), (None,)], "team_id long")
+    assert sorted(r.name for r in plans.teams_by_id(stored, ids).collect()) == ["A"]

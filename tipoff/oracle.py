@@ -507,3 +507,9 @@ per AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM s GRO
 c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM per)
 SELECT sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc, CAST(sum(pos) AS BIGINT) AS positives,
   CAST(sum(neg) AS BIGINT) AS negatives, CAST(0 AS BIGINT) AS skipped FROM c"""
+
+ORACLE["team_by_id"] = f"""WITH {TEAM_GAMES}
+SELECT DISTINCT CAST(team_id AS VARCHAR) AS team_id, s_name AS name, '#' || printf('%06X', team_id) AS color
+FROM tg JOIN supplier ON s_suppkey = team_id
+WHERE team_id IN (SELECT home_team_id FROM games WHERE status = 'scheduled'
+  UNION SELECT away_team_id FROM games WHERE status = 'scheduled')"""

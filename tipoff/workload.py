@@ -345,6 +345,15 @@ def payload_to_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.teams([silver.teams_in_games(_payload_events(spark, sf_dir))]).select("team_id", "name", "color")
 
 
+@query
+def team_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver teams looked up by id: every team a scheduled game names."""
+    stored = materialize(payload_to_teams(spark, sf_dir))
+    scheduled = tables.games(spark, sf_dir).where(F.col("status") == "scheduled")
+    ids = scheduled.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    return silver.teams_by_id(stored, ids)
+
+
 @query
 def payload_to_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.venues(_payload_events(spark, sf_dir)).select("venue_id", "name", "city")
