@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tipoff.operators import timeline
 from tipoff.plans import gold
 from tipoff.sources import tables
+from tipoff.session import materialize
 
 SCHEMA = (
     "game_id string, season_id string, date timestamp, home_team_id string, away_team_id string, home_score int, "
@@ -229,3 +230,21 @@ def test_lines_without_team_order_or_mate(spark, tmp_path):
     left = {(r.l_orderkey, r.l_linenumber): r.reason for r in tables.unpaired_lines(spark, str(tmp_path)).collect()}
     same = dict.fromkeys([(1, 3), (1, 4), (2, 1), (2, 2)], "same team")
     assert left == same | {(1, 5): "last line", (3, 1): "no order", (3, 2): "no order"}
+
+
+@pytest.mark.parametrize("name", ["team_performance", "streaks", "head_to_head", "prediction_features"])
+def test_large_groups_are_cut_and_give_the_same_rows(spark, monkeypatch, name):
+    """All groups whole, the hot ones cut, all cut: the same rows."""
+    games = odd_schedule(spark)
+    build = getattr(gold, name)
+    expected = Counter(build(games).collect())
+    monkeypatch.setattr(timeline, "BLOCK_ROWS", 12)
+    for most in (20, 0):
+        monkeypatch.setattr(timeline, "GROUP_ROWS", most)
+        assert Counter(build(games).collect()) == expected
+
+
+def test_usual_groups_take_one_exchange(spark):
+    games = materialize(odd_schedule(spark))
+    plan = gold.streaks(games)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
