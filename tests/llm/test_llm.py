@@ -514,3 +514,21 @@ def test_registered(spark):
 
     names = contract.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+
+
+def test_classes_are_counted_over_the_whole_training_part(spark, monkeypatch):
+    """Counts of ids and pairs against a plain loop, with a sample far smaller than the corpus."""
+    monkeypatch.setattr(language_model, "SAMPLE_ROWS", 1)
+    vocabulary = public_tokenizers.path(packing.VOCABULARY)
+    docs = spark.createDataFrame([(i, f"alpha beta {'gamma ' * (i % 4)}{i}") for i in range(40)], "doc_id long, text string")
+    read = language_model._read(docs, vocabulary, 1).cache()
+    kept = [np.frombuffer(r.ids, "<u2").astype(int) for r in read.where("ids is not null and not held_out").collect()]
+    assert 0 < len(kept) < 40
+    counts = np.bincount(np.concatenate([np.append(t, language_model.END) for t in kept]), minlength=language_model.IDS + 1)
+    np.testing.assert_array_equal(language_model._id_counts(read), counts)
+    rank = language_model.ranks_of(counts)
+    after = np.zeros((language_model.RANKS + 1, language_model.RANKS))
+    for t in kept:
+        r = rank[np.append(t, language_model.END)]
+        np.add.at(after, (np.append(language_model.RANKS, r[:-1]), r), 1)
+    np.testing.assert_array_equal(language_model._count_pairs(read, rank), after)
