@@ -108,33 +108,50 @@ def _join48(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-_PACKED = "bucket long, nodes binary, sizes binary, counts binary, tokens binary"
-_PACKED_NAMES = ["bucket", "nodes", "sizes", "counts", "tokens"]
+_PACKED = "bucket long, nodes binary, counts binary, tokens binary"
+_PACKED_NAMES = ["bucket", "nodes", "counts", "tokens"]
+RUN = 255  # shingles of a node in one run, whose length is packed in a byte
+
+
+def _runs(nodes: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Where runs of one node begin, and their lengths; longer runs are cut."""
+    head = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
+    count = np.diff(np.append(head, len(nodes)))
+    cuts = -(-count // RUN)
+    if len(cuts) and cuts.max() > 1:
+        head = np.repeat(head, cuts) + RUN * (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+        count = np.diff(np.append(head, len(nodes)))
+    return head, count.astype(np.uint8).tobytes()
+
+
+def _unpack_nodes(nodes: bytes, counts: bytes) -> np.ndarray:
+    return np.repeat(np.frombuffer(nodes, np.int64), np.frombuffer(counts, np.uint8))
+
+
+def _buckets(target: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of every bucket of sorted targets."""
+    cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])).tolist() if len(target) else []
+    return list(zip(cuts, [*cuts[1:], len(target)]))
 
 
 def _ship(docs: DataFrame, buckets: int, shingle: int) -> DataFrame:
-    """Shingles by bucket: per row nodes, set sizes, shingles of each here, and the shingles."""
+    """Shingles by bucket: per row nodes, shingles of each here, and the shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # hashes, node, size per shingle
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # hashes, node per shingle
         seen: set[int] = set()
         read = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            hashes, node, size = [np.concatenate(x) for x in zip(*held)]
+            hashes, node = [np.concatenate(x) for x in zip(*held)]
             target = (tx.mix(hashes) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(target, kind="stable")
-            hashes, node, size, target = hashes[order], node[order], size[order], target[order]
-            cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
-            for a, b in zip(cuts, [*cuts[1:], len(target)]):
-                own = node[a:b]
-                head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                row = [
-                    own[head].tobytes(), size[a:b][head].astype("<u4").tobytes(),
-                    np.diff(np.append(head, b - a)).astype("<u4").tobytes(), _cut48(hashes[a:b]),
-                ]
+            hashes, node, target = hashes[order], node[order], target[order]
+            for a, b in _buckets(target):
+                head, counts = _runs(node[a:b])
+                row = [node[a:b][head].tobytes(), counts, _cut48(hashes[a:b])]
                 yield pa.RecordBatch.from_arrays([pa.array([int(target[a])]), *[pa.array([x], pa.binary()) for x in row]], _PACKED_NAMES)
             held.clear()
             seen.clear()
@@ -149,7 +166,7 @@ def _ship(docs: DataFrame, buckets: int, shingle: int) -> DataFrame:
                     seen.add(x)
                 pick = use[row] if len(row) else np.zeros(0, bool)
                 if pick.any():
-                    held.append((hashes[pick], nodes[row[pick]], np.diff(bounds)[row[pick]]))
+                    held.append((hashes[pick], nodes[row[pick]]))
                 read += len(part.data)
                 if read >= FLUSH_BYTES:
                     yield from flush()
@@ -164,63 +181,81 @@ def _shared(buckets: int, buckets2: int):
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        nodes, sizes, counts, tokens = [], [], [], []
-        for r in table.select(["nodes", "sizes", "counts", "tokens"]).to_batches():
-            for a, b, c, d in zip(*[x.to_pylist() for x in r.columns]):
-                counts.append(np.frombuffer(c, "<u4"))
-                nodes.append(np.repeat(np.frombuffer(a, np.int64), counts[-1]))
-                sizes.append(np.repeat(np.frombuffer(b, "<u4"), counts[-1]))
-                tokens.append(_join48(d))
-        node, size, token = np.concatenate(nodes), np.concatenate(sizes), np.concatenate(tokens)
-        del nodes, sizes, counts, tokens
+        nodes, tokens = [], []
+        for r in table.select(["nodes", "counts", "tokens"]).to_batches():
+            for a, b, c in zip(*[x.to_pylist() for x in r.columns]):
+                nodes.append(_unpack_nodes(a, b))
+                tokens.append(_join48(c))
+        node, token = np.concatenate(nodes), np.concatenate(tokens)
+        del nodes, tokens
         order = np.lexsort((node, token))
-        node, size, token = node[order], size[order], token[order]
+        node, token = node[order], token[order]
+        del order
         new = np.concatenate([[True], (node[1:] != node[:-1]) | (token[1:] != token[:-1])])
-        node, size, token = node[new], size[new], token[new]
+        node, token = node[new], token[new]
         head = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         holders = np.diff(np.append(head, len(token)))
         common = np.repeat(holders, holders)
         use = common > 1
-        node, size, token, common = node[use], size[use], token[use], common[use]
-        token = token | np.uint64(bucket % 65536)
+        node, token, common = node[use], token[use], common[use]
         level = np.minimum(np.floor(8 * np.log2(common)), 255).astype(np.uint8)
         target = (tx.mix(node.view(np.uint64)) % np.uint64(buckets2)).astype(np.int64)
         order = np.lexsort((node, target))
-        node, size, token, level, target = node[order], size[order], token[order], level[order], target[order]
-        cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(target) else []
+        node, token, level, target = node[order], token[order], level[order], target[order]
         out = []
-        for a, b in zip(cuts, [*cuts[1:], len(target)]):
-            own = node[a:b]
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            out.append((
-                int(target[a]), own[first].tobytes(), size[a:b][first].astype("<u4").tobytes(),
-                np.diff(np.append(first, b - a)).astype("<u4").tobytes(), token[a:b].tobytes(), level[a:b].tobytes(),
-            ))
+        for a, b in _buckets(target):
+            first, counts = _runs(node[a:b])
+            out.append((int(target[a]), node[a:b][first].tobytes(), counts, _cut48(token[a:b]), bucket, level[a:b].tobytes()))
         columns = list(zip(*out)) if out else [()] * 6
-        return pa.table([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], [*_PACKED_NAMES, "levels"])
+        types = [pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], [*_PACKED_NAMES, "dealt", "levels"])
 
     return run
 
 
+def _sizes(info: DataFrame, buckets2: int) -> DataFrame:
+    """Set sizes by the bucket of their node, in the form of :func:`_shared` with sizes as tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, size = (batch.column(i).to_numpy() for i in (0, 1))
+            node, size = node[size > 0], size[size > 0]
+            target = (tx.mix(node.view(np.uint64)) % np.uint64(buckets2)).astype(np.int64)
+            order = np.argsort(target, kind="stable")
+            node, size, target = node[order], size[order], target[order]
+            for a, b in _buckets(target):
+                row = [pa.array([x], pa.binary()) for x in (node[a:b].tobytes(), None, size[a:b].astype("<u4").tobytes())]
+                yield pa.RecordBatch.from_arrays([pa.array([int(target[a])]), *row], _PACKED_NAMES)
+
+    packed = info.select("node", "n").mapInArrow(run, _PACKED)
+    return packed.select("*", F.lit(None).cast("long").alias("dealt"), F.lit(None).cast("binary").alias("levels"))
+
+
 SETS = "node long, n int, tokens binary, prefix int"
 
 
 def _survivors(table: pa.Table) -> pa.Table:
     """Nodes whose shared shingles can make a link, rarest shingle first, and their prefix length."""
-    nodes, sizes, tokens, levels = [], [], [], []
+    nodes, tokens, levels, known, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [], []
     for r in table.to_batches():
-        for a, b, c, d, e in zip(*[r.column(x).to_pylist() for x in (*_PACKED_NAMES[1:], "levels")]):
-            count = np.frombuffer(c, "<u4")
-            nodes.append(np.repeat(np.frombuffer(a, np.int64), count))
-            sizes.append(np.repeat(np.frombuffer(b, "<u4"), count))
-            tokens.append(np.frombuffer(d, np.uint64))
+        for a, b, c, bucket, e in zip(*[r.column(x).to_pylist() for x in (*_PACKED_NAMES[1:], "dealt", "levels")]):
+            if b is None:
+                known.append(np.frombuffer(a, np.int64))
+                sizes.append(np.frombuffer(c, "<u4"))
+                continue
+            nodes.append(_unpack_nodes(a, b))
+            tokens.append(_join48(c) | np.uint64(bucket % 65536))
             levels.append(np.frombuffer(e, np.uint8))
-    node, size, token, level = [np.concatenate(x) for x in (nodes, sizes, tokens, levels)]
+    node, token, level = [np.concatenate(x) for x in (nodes, tokens, levels)]
+    if not len(node):
+        return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.int32())], ["node", "n", "tokens", "prefix"])
+    known, at = np.unique(np.concatenate(known), return_index=True)
+    sizes = np.concatenate(sizes)[at].astype(np.int64)
     order = np.lexsort((token, level, node))
-    node, size, token = node[order], size[order].astype(np.int64), token[order]
+    node, token = node[order], token[order]
     head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
     count = np.diff(np.append(head, len(node)))
-    n = size[head]
+    n = sizes[np.searchsorted(known, node[head])]
     use = np.flatnonzero(5 * count >= 4 * n)
     prefix = n + (-4 * n // 5) + 1 - (n - count)
     return pa.table(
@@ -363,11 +398,13 @@ def join_groups(sets: DataFrame, shingles: int, tile_shingles: int | None = None
     """(a, b): links that span the components of ``sets``."""
     tile_shingles = tile_shingles or TILE_SHINGLES
     groups = components(_chain_links(sets, max(1, -(-shingles // BUCKET_SHINGLES))))
-    grouped = sets.join(groups, "node").withColumnRenamed("component", "grp")
-    weights = grouped.groupBy("grp").agg(F.sum(F.octet_length("tokens") / 8).alias("w"))
+    # Groups are weighed and salted without their shingles, which travel to their nodes' places once.
+    weighed = sets.select("node", (F.octet_length("tokens") / 8).alias("w")).join(groups, "node").withColumnRenamed("component", "grp")
+    weights = weighed.groupBy("grp").agg(F.sum("w").alias("w"))
     # Groups above the size of a tile are salted in k parts and joined part by part.
     salts = weights.select("grp", F.greatest(F.lit(1), F.ceil(2 * F.col("w") / tile_shingles - 1)).cast("int").alias("k"))
-    placed = grouped.join(salts, "grp").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    places = weighed.drop("w").join(salts, "grp").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    placed = sets.join(places, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     tiles = placed.select("*", other).withColumn("lo", F.least("salt", "other")).withColumn("hi", F.greatest("salt", "other"))
     tasks = max(1, -(-shingles // (tile_shingles // 4)))
@@ -381,8 +418,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tile_shingles: int
     info = materialize(_describe(docs, shingle))
     total = info.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_SHINGLES))
-    shared = _ship(docs, buckets, shingle).groupBy("bucket").applyInArrow(_shared(buckets, buckets), f"{_PACKED}, levels binary")
-    sets = materialize(shared.groupBy("bucket").applyInArrow(_survivors, SETS))
+    shared = _ship(docs, buckets, shingle).groupBy("bucket").applyInArrow(_shared(buckets, buckets), f"{_PACKED}, dealt long, levels binary")
+    sets = materialize(shared.unionByName(_sizes(info, buckets)).groupBy("bucket").applyInArrow(_survivors, SETS))
     held = sets.agg(F.sum(F.octet_length("tokens") / 8).cast("long")).first()[0] or 0
     links = join_groups(sets, held, tile_shingles)
     grouped = components(links)
