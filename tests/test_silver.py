@@ -267,3 +267,24 @@ def test_team_by_id_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(team_id), EqualTo(team_id,2)]" in one._jdf.queryExecution().executedPlan().toString()
     ids = spark.createDataFrame([(1,), (1,), (9,), (None,)], "team_id long")
     assert sorted(r.name for r in plans.teams_by_id(stored, ids).collect()) == ["A"]
+
+
+def test_only_repeated_keys_are_ranked(spark, monkeypatch):
+    """Records alone under their key are not shuffled; the rows are those of ranking all of them."""
+    payloads = [{"events": [event(str(i), competitors=[side("1", "home", str(i)), side("2", "away", "1")]), event(f"{i}b")]} for i in range(6)]
+    alone = silver.events(captures(spark, *payloads))
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and alone.count() == 12
+    days = ["2023-03-15", "2023-03-16", "2023-03-15", None, None, "2023-03-17"]
+    some = captures(spark, *payloads, dates=days)
+    some = some.unionByName(some)
+    want = silver.newest_events(some, ("date",)).where("date is not null")
+    for limit in (100, 0):
+        monkeypatch.setattr(silver, "REPEATED_KEYS", limit)
+        for landed in (some, captures(spark, *payloads, dates=days)):
+            got = silver.events(landed).select("source_date", "event.id", "content_hash")
+            copies = 2 if landed is some else 1
+            assert sorted(map(tuple, got.collect())) == sorted(
+                (d, i, f"h{n}") for n, d in ((1, days[1]), (2, days[0]), (5, days[5])) for i in (str(n), f"{n}b") for _ in range(copies)
+            )
+    assert want.count() == 12
