@@ -8,6 +8,9 @@ that id's verdict; a null id is an id of its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from tipoff.llm.queries import table
 from tipoff.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_ROWS = 1024
 
 
 def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -59,12 +63,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(materialize(packing.pieces(docs, vocabulary)))
 
 
+def _in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage`` with texts handed to Python ``BATCH_ROWS`` rows at a time, not 10,000."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", remove_toxic),
-    ("line_dedup", remove_repeated_lines),
-    ("ngram_jaccard", keep_one_of_each),
-    ("decontamination", remove_contaminated),
-    ("packing", pack),
+    ("toxicity", _in_small_batches(remove_toxic)),
+    ("line_dedup", _in_small_batches(remove_repeated_lines)),
+    ("ngram_jaccard", _in_small_batches(keep_one_of_each)),
+    ("decontamination", _in_small_batches(remove_contaminated)),
+    ("packing", _in_small_batches(pack)),
 ]
 
 # Trained models and token ids are beyond SQL; tests compare the stages with plain versions.

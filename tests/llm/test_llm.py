@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tipoff.llm import decontamination, embeddings, html, jaccard, language_model, lines, packing, passages, toxicity, warc
+from tipoff.llm import text as tx
 from tipoff.llm.components import components, forest
 from tipoff.llm.queries import ORACLE, QUERIES, table
 
@@ -532,3 +533,44 @@ def test_classes_are_counted_over_the_whole_training_part(spark, monkeypatch):
         r = rank[np.append(t, language_model.END)]
         np.add.at(after, (np.append(language_model.RANKS, r[:-1]), r), 1)
     np.testing.assert_array_equal(language_model._count_pairs(read, rank), after)
+
+
+def test_letters_outside_ascii_go_to_the_model_at_once(monkeypatch):
+    """Only what follows a word, and words of other signs, take the tokenizer's whole way."""
+    path = public_tokenizers.path(packing.VOCABULARY)
+    words, whole = packing.WordIds(path), []
+    add = words._add
+    monkeypatch.setattr(words, "_add", lambda new, *more: (whole.extend(new := list(new)), add(new, *more)))
+    texts = ["Größe, naïve ÉTÉ!! plain Plain", "ßß 中文 été\tÿ x1 K straße."]
+    tokenizer = Tokenizer.from_file(path)
+    for _ in range(2):
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert list(words.of(texts)) == want
+    assert set(whole) - {""} <= {",", "!!", ".", "中文", "ÿ", "x1", "K"}
+
+
+def test_shingles_are_shipped_without_sizes_and_in_short_runs(spark):
+    """15 bytes for a shingle alone in its bucket, 6 for one more of the same document."""
+    docs = spark.createDataFrame([(i, sentence(900 + i, 700 + 100 * i)) for i in range(5)], DOCS.split(", lang")[0])
+    total = sum(n - jaccard.SHINGLE + 1 for n in range(700, 1200, 100))
+    for buckets in (1, 40):
+        rows = jaccard._ship(docs, buckets, jaccard.SHINGLE).collect()
+        runs = sum(len(r.counts) for r in rows)
+        assert sum(sum(r.counts) for r in rows) == total and all(len(r.nodes) == 8 * len(r.counts) for r in rows)
+        assert sum(len(v) for r in rows for v in r[1:]) == 9 * runs + 6 * total
+    nodes = np.repeat([5, 7, 9], [600, 255, 1])
+    head, counts = jaccard._runs(nodes)
+    assert list(counts) == [255, 255, 90, 255, 1]
+    np.testing.assert_array_equal(jaccard._unpack_nodes(nodes[head].tobytes(), counts), nodes)
+
+
+def test_pipeline_stages_take_small_batches_and_release_memory(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(tx, "release", lambda: calls.append(1))
+    assert list(tx.releasing(lambda rows: (x + 1 for x in rows))(iter([1, 2]))) == [2, 3] and calls == [1]
+    assert tx.releasing_group(lambda group: group)("g") == "g" and calls == [1, 1]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5)], DOCS)
+    dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, DATA)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(corpus_pipeline.BATCH_ROWS)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

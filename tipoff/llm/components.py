@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tipoff.llm.text import releasing
 from tipoff.session import materialize
 
 
@@ -54,7 +55,7 @@ def _shrink(links: DataFrame) -> DataFrame:
         if held:
             yield _links(forest(held))
 
-    return links.mapInArrow(run, "a long, b long")
+    return links.mapInArrow(releasing(run), "a long, b long")
 
 
 def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -77,7 +77,7 @@ def build_index(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/index"
-    rows = docs.select("doc_id", "text").mapInArrow(run, INDEX)
+    rows = docs.select("doc_id", "text").mapInArrow(tx.releasing(run), INDEX)
     # Small row groups: a reader's task holds a few shards at a time.
     rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(INDEX).parquet(path)
@@ -207,7 +207,7 @@ def search(index: DataFrame, blocks: list[list[Phrases]], slop: int | None = Non
                             ["shard", "doc", "item", "start", "length"],
                         )
 
-        found = found.unionByName(columns.mapInArrow(run, MATCHES))
+        found = found.unionByName(columns.mapInArrow(tx.releasing(run), MATCHES))
     return found
 
 

@@ -93,7 +93,7 @@ def _describe(docs: DataFrame, shingle: int) -> DataFrame:
                 sizes = np.diff(bounds).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(_nodes(hashes, bounds)), pa.array(sizes)], ["doc_id", "node", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, n long")
+    return docs.select("doc_id", "text").mapInArrow(tx.releasing(run), "doc_id long, node long, n long")
 
 
 def _cut48(values: np.ndarray) -> bytes:
@@ -173,7 +173,7 @@ def _ship(docs: DataFrame, buckets: int, shingle: int) -> DataFrame:
                     read = 0
         yield from flush()
 
-    return docs.select("text").mapInArrow(run, _PACKED)
+    return docs.select("text").mapInArrow(tx.releasing(run), _PACKED)
 
 
 def _shared(buckets: int, buckets2: int):
@@ -227,7 +227,7 @@ def _sizes(info: DataFrame, buckets2: int) -> DataFrame:
                 row = [pa.array([x], pa.binary()) for x in (node[a:b].tobytes(), None, size[a:b].astype("<u4").tobytes())]
                 yield pa.RecordBatch.from_arrays([pa.array([int(target[a])]), *row], _PACKED_NAMES)
 
-    packed = info.select("node", "n").mapInArrow(run, _PACKED)
+    packed = info.select("node", "n").mapInArrow(tx.releasing(run), _PACKED)
     return packed.select("*", F.lit(None).cast("long").alias("dealt"), F.lit(None).cast("binary").alias("levels"))
 
 
@@ -298,8 +298,8 @@ def _chain_links(sets: DataFrame, parts: int) -> DataFrame:
         tree = forest(list(map(tuple, pairs.tolist())))
         return pa.table([pa.array([x for x, _ in tree], pa.int64()), pa.array([y for _, y in tree], pa.int64())], ["a", "b"])
 
-    packed = sets.select("node", "tokens", "prefix").mapInArrow(lists, "part long, tokens binary, nodes binary")
-    return packed.groupBy("part").applyInArrow(chain, "a long, b long")
+    packed = sets.select("node", "tokens", "prefix").mapInArrow(tx.releasing(lists), "part long, tokens binary, nodes binary")
+    return packed.groupBy("part").applyInArrow(tx.releasing_group(chain), "a long, b long")
 
 
 class Index:
@@ -410,7 +410,7 @@ def join_groups(sets: DataFrame, shingles: int, tile_shingles: int | None = None
     tasks = max(1, -(-shingles // (tile_shingles // 4)))
     box = F.when(F.col("k") == 1, F.pmod(F.xxhash64("grp"), F.lit(tasks))).otherwise(F.xxhash64("grp", "lo", "hi"))
     columns = ("grp", "lo", "hi", "salt", "node", "n", "tokens", "prefix")
-    return tiles.select(box.alias("box"), *columns).groupBy("box").applyInArrow(_join_tiles, "a long, b long")
+    return tiles.select(box.alias("box"), *columns).groupBy("box").applyInArrow(tx.releasing_group(_join_tiles), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tile_shingles: int | None = None) -> DataFrame:
@@ -418,8 +418,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tile_shingles: int
     info = materialize(_describe(docs, shingle))
     total = info.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_SHINGLES))
-    shared = _ship(docs, buckets, shingle).groupBy("bucket").applyInArrow(_shared(buckets, buckets), f"{_PACKED}, dealt long, levels binary")
-    sets = materialize(shared.unionByName(_sizes(info, buckets)).groupBy("bucket").applyInArrow(_survivors, SETS))
+    shared = _ship(docs, buckets, shingle).groupBy("bucket").applyInArrow(tx.releasing_group(_shared(buckets, buckets)), f"{_PACKED}, dealt long, levels binary")
+    sets = materialize(shared.unionByName(_sizes(info, buckets)).groupBy("bucket").applyInArrow(tx.releasing_group(_survivors), SETS))
     held = sets.agg(F.sum(F.octet_length("tokens") / 8).cast("long")).first()[0] or 0
     links = join_groups(sets, held, tile_shingles)
     grouped = components(links)

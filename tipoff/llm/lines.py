@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tipoff.llm.text import MAX_ID
+from tipoff.llm.text import MAX_ID, releasing
 
 ROLL = 2
 RESIDUES = 4  # a chunk ends at one line in four, on average
@@ -68,7 +68,7 @@ def _chunk_rows(docs: DataFrame, whole: bool) -> DataFrame:
                     columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))]
                     yield pa.RecordBatch.from_arrays(columns, ["doc", "row", "chunk"])
 
-    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc long, row long, chunk binary")
+    return docs.select("doc_id", "row", "text").mapInArrow(releasing(run), "doc long, row long, chunk binary")
 
 
 def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -104,7 +104,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Data
                 made = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], *made], names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(releasing(run), schema)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,7 +88,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
         )
 
     rows = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select(F.col("toxic").cast("int"), "text")
-    sums = rows.mapInArrow(count, "term string, bad long, good long").groupBy("term").agg(
+    sums = rows.mapInArrow(tx.releasing(count), "term string, bad long, good long").groupBy("term").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
     )
     sums = materialize(sums)
@@ -188,7 +188,7 @@ def features(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] =
                 [*batch.columns[: len(keep)], *[pa.array(c, pa.float64()) for c in out]], [*keep, *FEATURES]
             )
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(tx.releasing(run), schema)
 
 
 def sample(labels: DataFrame) -> DataFrame:
