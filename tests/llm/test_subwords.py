@@ -46,6 +46,34 @@ def test_units_and_cuts_are_exact(library):
         assert model.encode(text) == library.encode(text)
 
 
+def test_distinct_units_of_a_batch_are_merged_once_and_in_step(library, monkeypatch):
+    model, merged = subwords.PieceModel(PATH), []
+    in_step = model.merge_short
+    monkeypatch.setattr(model, "merge_short", lambda characters: merged.append(len(characters)) or in_step(characters))
+    texts = ["the words come again. " * 50 + f"and new{i}wörd" for i in range(40)] + EDGES
+    ids, ends = model.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t) for t in texts]
+    assert sum(merged) < 100 and len(merged) <= 2  # one step for the short units, one for parts of the long ones
+
+
+def test_long_units_are_cut_or_merged_alone(library):
+    model = subwords.load(PATH)
+    texts = ["中文é" * 200, "ab" * 100 + "\n" + "x" * 47 + " " + "x" * 48 + " " + "x" * 49, "😀" * 60 + "the" * 30, ""]
+    ids, ends = model.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t) for t in texts]
+    assert all(model.decode(library.encode(t) + [2]) == library.decode(library.encode(t) + [2]) for t in texts)
+    assert model.decode([2]) == library.decode([2]) and model.decode([]) == ""
+
+
+def test_slices_are_bounded_by_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(subwords, "SLICE_ROWS", 3)
+    monkeypatch.setattr(subwords, "SLICE_BYTES", 10)
+    texts = ["a" * 4, None, "b" * 6, "c" * 11, "", None, "", "d"]
+    batch = subwords.pa.RecordBatch.from_arrays([subwords.pa.array(texts, subwords.pa.string())], names=["text"])
+    got = [part.column("text").to_pylist() for part in subwords.slices(batch)]
+    assert got == [["a" * 4, None, "b" * 6], ["c" * 11], ["", None, ""], ["d"]]
+
+
 def test_query_on_given_documents(spark, library):
     got = QUERIES["op11_sentencepiece"](spark, DATA).toPandas()
     docs = table(spark, DATA, "documents").select("doc_id", "text").toPandas()
