@@ -215,6 +215,26 @@ def test_scores_are_probabilities_of_each_id_once():
     np.testing.assert_allclose(language_model.score_texts(model, texts), [loop(t) for t in texts], rtol=1e-4)
 
 
+def test_scoring_reads_attention_from_tables(monkeypatch):
+    """Scores from tables by class equal those of the attention itself, which is used only for heads out of range."""
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(0, 300, n) for n in (0, 1, 31, 32, 33, 60, 200)]
+    counts = np.bincount(np.concatenate(texts), minlength=language_model.IDS + 1).astype(float)
+    classes, rank = language_model.classes_of(counts), language_model.ranks_of(counts)
+    after = np.zeros((language_model.RANKS + 1, language_model.RANKS))
+    parts = language_model.count_parts(classes, rank, counts, after)
+    model = language_model.train(classes, parts, *language_model._training_windows(texts, classes, rank))
+    attend, calls = language_model.attend, []
+    monkeypatch.setattr(language_model, "attend", lambda *x: calls.append(1) or attend(*x))
+    tabled = language_model.score_texts(model, texts)
+    assert not calls
+    monkeypatch.setattr(language_model, "attention_of", lambda model: None)
+    np.testing.assert_allclose(language_model.score_texts(model, texts), tabled, rtol=1e-6)
+    assert calls
+    monkeypatch.undo()
+    assert language_model.attention_of(model._replace(query=model.query * 1e4)) is None
+
+
 def test_score_of_nothing(nothing):
     assert language_model.score(nothing, public_tokenizers.path(packing.VOCABULARY)).count() == 0
 
