@@ -594,3 +594,19 @@ def test_pipeline_stages_take_small_batches_and_release_memory(spark, monkeypatc
     dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, DATA)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(corpus_pipeline.BATCH_ROWS)
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_pipeline_stages_read_texts_in_small_batches(spark, tmp_path):
+    """Every stage sets the reader's batch for its scans; rows of several batches all arrive."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    rows = [(i, f"line {i}\nsecond {i}", "en", "s", 12) for i in range(2 * corpus_pipeline.READER_ROWS + 1)]
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        if name == "line_dedup":
+            assert stage(spark, docs, DATA).count() == len(rows)
+        else:
+            stage(spark, docs.limit(3), DATA)
+        assert int(spark.conf.get(key)) == corpus_pipeline.READER_ROWS <= 512, name
+    spark.conf.unset(key)
