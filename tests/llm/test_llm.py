@@ -610,3 +610,42 @@ def test_pipeline_stages_read_texts_in_small_batches(spark, tmp_path):
             stage(spark, docs.limit(3), DATA)
         assert int(spark.conf.get(key)) == corpus_pipeline.READER_ROWS <= 512, name
     spark.conf.unset(key)
+
+
+def test_head_is_trained_on_every_window_of_the_training_part(spark, monkeypatch):
+    """Samples of a few windows hold all windows of all training texts, and all of them move the weights."""
+    vocabulary = public_tokenizers.path(packing.VOCABULARY)
+    docs = spark.createDataFrame(
+        [(i if i % 5 else None, " ".join(f"w{i}x{j}" for j in range(i * 40))) for i in range(12)], "doc_id long, text string"
+    )
+    read = language_model._read(docs, vocabulary, 1).cache()
+    texts = [np.frombuffer(r.ids, "<u2").astype(int) for r in read.where("ids is not null and not held_out").collect()]
+    counts = language_model._id_counts(read)
+    classes, rank = language_model.classes_of(counts), language_model.ranks_of(counts)
+    parts = language_model.count_parts(classes, rank, counts, language_model._count_pairs(read, rank))
+
+    def windows(samples):
+        found = []
+        for r in samples.collect():
+            pieces = np.split(np.frombuffer(r.pieces, "<u2"), np.cumsum(np.frombuffer(r.lengths, "<u4"))[:-1])
+            found.append(language_model.piece_windows(pieces, classes, rank))
+        return found
+
+    want = language_model._training_windows(texts, classes, rank)
+    one = language_model._samples(read)
+    assert len(windows(one)) == 1
+    monkeypatch.setattr(language_model, "SAMPLE_WINDOWS", 30)
+    many = language_model._samples(read)
+    assert len(windows(many)) > 5
+
+    def listed(found):
+        return sorted(map(repr, zip(*[np.concatenate(x).tolist() for x in zip(*found)])))
+
+    assert listed(windows(many)) == listed(windows(one)) == listed([want])
+    alone = language_model.train(classes, parts, *windows(one)[0])
+    np.testing.assert_allclose(language_model._train_all(one, classes, parts).out, alone.out, rtol=1e-4, atol=1e-6)
+    # One epoch over many samples: the mean of what each makes of the first weights, by windows.
+    monkeypatch.setattr(language_model, "EPOCHS", 1)
+    each = [(len(w[0]), language_model.train(classes, parts, *w)) for w in windows(many)]
+    mean = sum(n * m.out.astype(float) for n, m in each) / sum(n for n, _ in each)
+    np.testing.assert_allclose(language_model._train_all(many, classes, parts).out, mean, rtol=1e-4, atol=1e-6)
